@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_id, media, sharding
+from . import decontaminate, language_id, media, packing, pii, secret_scan, sharding
 
 QUERIES = {
     "op1_decontamination": decontaminate.query,
     "op2_language_id": language_id.query,
+    "op3_secret_scan": secret_scan.query,
+    "op5_best_fit_packing": packing.query,
     "op6_sharding": sharding.query,
     "op8_media_columns": media.query,
+    "op10_pii": pii.query,
 }
 ORACLE: dict[str, str] = {"op1_decontamination": decontaminate.SQL}
