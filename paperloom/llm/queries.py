@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_id, media, packing, pii, secret_scan, sharding
+from . import decontaminate, jaccard_join, language_id, media, packing, pii, secret_scan, sharding
 
 QUERIES = {
     "op1_decontamination": decontaminate.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_secret_scan": secret_scan.query,
     "op5_best_fit_packing": packing.query,
     "op6_sharding": sharding.query,
+    "op7_ngram_jaccard_join": jaccard_join.query,
     "op8_media_columns": media.query,
     "op10_pii": pii.query,
 }
