@@ -176,23 +176,32 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     return Model(sorted(per), *found)
 
 
-def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """id_col, lang_pred, score and the columns of carry, for every row of docs."""
-    carry = carry or []
+def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id_col, lang_pred, score: one row for each row of docs."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias("_text"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = shared.value.scorer()
         for b in batches:
             found = [score(t) for t in b.column(1).to_pylist()]
-            langs, scores = zip(*found, strict=True) if found else ((), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), *[b.column(2 + i) for i in range(len(carry))], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[id_col, *[f"_c{i}" for i in range(len(carry))], "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], names=["id", "lang_pred", "score"])
 
-    types = dict(docs.dtypes)
-    schema = ", ".join([f"`{id_col}` {types[id_col]}", *[f"_c{i} {types[c]}" for i, c in enumerate(carry)], "lang_pred string", "score double"])
-    out = small_batches(kept).mapInArrow(run, schema)
-    return out.select(id_col, *[F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)], "lang_pred", "score")
+    kept = small_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
+    return kept.mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, lang_pred string, score double").withColumnRenamed("id", id_col)
+
+
+def keep_identified(docs: DataFrame, model: Model, least_score: float, *, text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns, whose text has a language with at least that score."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = shared.value.scorer()
+        for b in batches:
+            found = [score(t) for t in b.column(at).to_pylist()]
+            yield b.filter(pa.array([x != UNDETERMINED and y >= least_score for x, y in found], pa.bool_()))
+
+    return small_batches(docs).mapInArrow(run, docs.schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
