@@ -25,7 +25,6 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +38,7 @@ MAX_TOKENS = 4096
 END_ID = 1
 GROUP_PIECES = 1 << 16
 #: Words that a worker remembers before it forgets them all.
-CACHE = 400_000
+CACHE = 600_000
 
 #: Texts of these characters only are in NFC and lower-cased letter by letter alike everywhere.
 PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xff]")
@@ -52,46 +51,85 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class Places(dict):
+    """A place for each word, given out as words are asked for; new: those that have no ids yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        k = self[word] = len(self)
+        self.new.append(word)
+        return k
+
+
 class Encoder:
-    """Token ids of whole texts; words: cut texts into words by WORD (for the word_bpe_49k file alone)."""
+    """Token ids of whole texts; words: cut texts into words by WORD (for the word_bpe_49k file alone).
+
+    The ids of all words seen lie in one flat array; a text's ids are gathered from there at once.
+    """
 
     def __init__(self, path: str, words: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer, self.words, self.cache = Tokenizer.from_file(path), words, {}
+        self.tokenizer, self.words = Tokenizer.from_file(path), words
+        # for words that are cut and lower-cased already: the same model behind a split at spaces
+        self.model = Tokenizer.from_file(path)
+        self.model.normalizer = normalizers.Sequence([])
+        self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[k for w, k in vocabulary.items() if w.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.places, self.known = Places(), 0
+        self.ids, self.starts = np.zeros(1 << 16, dtype=np.uint32), np.zeros(1 << 16, dtype=np.int64)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def learn(self, words: list[str]) -> None:
-        """Encodes the words as one text, with a space after each; the last token of a word says so."""
-        ids = self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids
-        ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-        for w, a, b in zip(words, [0, *ends[:-1]], ends, strict=True):
-            self.cache[w] = ids[a:b]
+    @staticmethod
+    def _room(x: np.ndarray, n: int) -> np.ndarray:
+        return x if len(x) >= n else np.concatenate([x, np.zeros(max(n, len(x)), dtype=x.dtype)])
+
+    def learn(self) -> None:
+        """Encodes new words as texts of many, a space after each; the last token of a word says so."""
+        new, self.places.new = self.places.new, []
+        for at in range(0, len(new), 1_000):
+            part = new[at : at + 1_000]
+            ids = np.array(self.model.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(part):
+                raise ValueError("words and tokens do not agree")
+            first = int(self.starts[self.known])
+            self.ids = self._room(self.ids, first + len(ids))
+            self.ids[first : first + len(ids)] = ids
+            self.starts = self._room(self.starts, self.known + len(part) + 1)
+            self.starts[self.known + 1 : self.known + len(part) + 1] = first + ends
+            self.known += len(part)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         out: list = [None] * len(texts)
-        cut, odd, new = {}, [], set()
-        if len(self.cache) > CACHE:
-            self.cache = {}
+        cut, odd, rows = [], [], []
+        if self.known > CACHE:
+            self.forget()
+        place = self.places.__getitem__
         for i, t in enumerate(texts):
             if self.words and not PLAIN.search(t) and "<|" not in t:
-                cut[i] = found = WORD.findall(t.lower())
-                new.update(found)
+                found = WORD.findall(t.lower())
+                cut.append(i)
+                rows.append(np.fromiter(map(place, found), dtype=np.int64, count=len(found)))
             else:
                 odd.append(i)
-        new -= self.cache.keys()
-        fresh = sorted(new)
-        for at in range(0, len(fresh), 1_000):
-            self.learn(fresh[at : at + 1_000])
-        get = self.cache.__getitem__
-        for i, found in cut.items():
-            out[i] = np.fromiter(chain.from_iterable(map(get, found)), dtype=np.uint32)
+        self.learn()
+        for i, k in zip(cut, rows, strict=True):
+            begins, sizes = self.starts[k], self.starts[k + 1] - self.starts[k]
+            ends = np.cumsum(sizes)
+            total = int(ends[-1]) if len(ends) else 0
+            out[i] = self.ids[np.arange(total) + np.repeat(begins - ends + sizes, sizes)]
         for i, ids in zip(odd, self.whole([texts[i] for i in odd]) if odd else [], strict=True):
             out[i] = ids
         return out
