@@ -12,15 +12,15 @@ own band and in a lower band that may hold its partners. Keys travel packed, as
 (batch, key range), and a task sorts the keys of one key range.
 
 Candidates. Sets that share a key: groups of up to SMALL give all pairs, larger groups a star
-around their least id in the first round. Star and pairs are thinned by an exact bound (the
+around their least id in the first round and around others in the next ones. Stars and pairs are thinned by an exact bound (the
 Hamming distance of parity bitmaps never exceeds the number of differing elements), verified on the
-sets themselves and joined into components. A second round looks only at keys whose sets are still
-in different components: up to HOT sets, all pairs across components. A key of more sets than
+sets themselves and joined into components; each round looks only at keys whose sets are still in
+different components. What the stars leave is matched pair by pair: up to HOT sets a key, all pairs across components. A key of more sets than
 that (a passage that many documents share) is passed over by every set that can afford it: m_k has
 slack, and the pigeonhole argument needs H+1 segments only (cost-based allocation). Sets that
 cannot afford it, and only those, match each other by one-deletion neighbourhoods, each segment of
-which stands for two; and the few for which even that is not enough are compared within the
-passed-over keys. So no link between different texts is lost, though pairs inside one component
+which stands for two; and the few for which even that is not enough (most of their elements are in
+crowded segments) are matched by their rarest elements, of which linked sets share one. So no link between different texts is lost, though pairs inside one component
 need not be listed.
 
 Recovery: each round's tables are written to the shared folder. Nothing but scalars reaches the
@@ -38,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
@@ -48,11 +48,21 @@ from .common import LOWER_BYTES, small_batches, table
 WORDS = 5
 #: Jaccard >= 3/4: at most (|X|+|Y|)/7 elements differ, and sizes differ by 4/3 at most.
 SLACK = 0.2
+#: Sets up to about this size are matched by single elements.
+SINGLES = 32
 SMALL, HOT = 4, 64
 #: Keys that one task sorts at once.
 TASK_KEYS = 1_500_000
 #: Below this many, ids of documents to be read again are broadcast (16 MB).
 BROADCAST_ROWS = 1_000_000
+#: Longs of those that carry lists of keys (32 MB).
+BROADCAST_LONGS = 4_000_000
+#: Roles of keys in the last round: of segments that stand for two, with one element less, of segments that count, of all segments of a possible partner; elements themselves.
+WHOLE, LESS, SAME, ANY_WHOLE, ANY_LESS, ELEMENT = range(6)
+#: A set whose probes meet more keys of others than this is matched by its elements.
+DEAR = 200
+#: Rounds of stars over the larger groups before what is left is matched pair by pair.
+STAR_ROUNDS = 1
 U = np.uint64
 _SHINGLE = [U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -102,9 +112,10 @@ def most_differing(n: int, k: int) -> int:
 
 
 def segments(k: int) -> int:
+    """m_k: enough for H+1 non-empty ones with a margin of over five deviations; in the lowest bands every element is a segment of its own."""
     top = int(BANDS[k + 1]) - 1
     need = (top + (4 * top) // 3) // 7 + 1
-    return need if need == 1 else need + int(np.ceil(SLACK * need))
+    return 1 << 32 if top <= SINGLES else int(np.ceil(need * (1 + SLACK + 3 / np.sqrt(need))))
 
 
 def bands_of(n: int) -> range:
@@ -131,14 +142,15 @@ def keys(h: np.ndarray, k: int) -> np.ndarray:
     return keyed(segment, total, k)
 
 
-def deletions(h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of each segment with one element left out, and the place of its segment among the non-empty ones; segments of one element have none."""
+def deletions(h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of each segment with one element left out, the place of its segment among the non-empty ones, and those segments' sizes.
+
+    A segment of one element gives the key of an empty one, which no set has.
+    """
     segment, total, first, g = parts(h, k)
     at = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(g))))
     out = keyed(segment[at], total[at] - g, k)
-    sizes = np.diff(np.append(first, len(g)))
-    several = sizes[at] > 1
-    return out[several], at[several]
+    return out.view(np.int64), at, np.diff(np.append(first, len(g)))
 
 
 def bitmap(h: np.ndarray) -> bytes:
@@ -179,8 +191,7 @@ def describe(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     return small_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).mapInArrow(run, f"doc_id {dict(docs.dtypes)[id_col]}, id long, n long, bitmap binary")
 
 
-_PACKED = [("p", pa.int32()), ("ids", pa.binary()), ("bands", pa.binary()), ("counts", pa.binary()), ("keys", pa.binary())]
-_GROUPED = [("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("band", pa.int32())]
+_PACKED = [("p", pa.int32()), ("ids", pa.binary()), ("bands", pa.binary()), ("spare", pa.binary()), ("counts", pa.binary()), ("keys", pa.binary())]
 
 
 def signatures(docs: DataFrame, ranges: int, *, text_col: str = "text") -> DataFrame:
@@ -188,7 +199,7 @@ def signatures(docs: DataFrame, ranges: int, *, text_col: str = "text") -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            owner, bands, found, ids = [], [], [], []
+            owner, bands, spare, found, ids = [], [], [], [], []
             for t in b.column(0).to_pylist():
                 h = shingles(t)
                 if len(h):
@@ -197,9 +208,10 @@ def signatures(docs: DataFrame, ranges: int, *, text_col: str = "text") -> DataF
                         found.append(keys(h, k))
                         owner.append(len(ids) - 1)
                         bands.append(k)
+                        spare.append(max(0, len(found[-1]) - most_differing(len(h), k) - 1))
             if not found:
                 continue
-            ids, bands = np.array(ids, dtype=np.int64), np.array(bands, dtype=np.int32)
+            ids, bands, spare = np.array(ids, dtype=np.int64), np.array(bands, dtype=np.uint8), np.array(spare, dtype=np.int32)
             entry = np.repeat(np.arange(len(found)), [len(x) for x in found])
             every = np.concatenate(found)
             part = (((every >> U(32)) * U(ranges)) >> U(32)).astype(np.int32)
@@ -213,30 +225,30 @@ def signatures(docs: DataFrame, ranges: int, *, text_col: str = "text") -> DataF
                 own = e[starts]
                 out["p"].append(int(part[lo]))
                 out["ids"].append(ids[np.array(owner)[own]].tobytes())
-                out["bands"].append(bands[own].astype(np.uint8).tobytes())
+                out["bands"].append(bands[own].tobytes())
+                out["spare"].append(spare[own].tobytes())
                 out["counts"].append(np.diff(np.append(starts, hi - lo)).astype(np.uint32).tobytes())
                 out["keys"].append(every[lo:hi].tobytes())
             yield _batch(out, _PACKED)
 
-    return small_batches(docs.select(F.col(text_col).alias("text"))).mapInArrow(run, "p int, ids binary, bands binary, counts binary, keys binary")
+    return small_batches(docs.select(F.col(text_col).alias("text"))).mapInArrow(run, "p int, ids binary, bands binary, spare binary, counts binary, keys binary")
 
 
 def _group(t):
     """The pairs of one key range (key null) and the members of its larger groups (b null)."""
-    ids = np.frombuffer(b"".join(t.column("ids").to_pylist()), np.int64)
-    bands = np.frombuffer(b"".join(t.column("bands").to_pylist()), np.uint8)
-    counts = np.frombuffer(b"".join(t.column("counts").to_pylist()), np.uint32)
-    k = np.frombuffer(b"".join(t.column("keys").to_pylist()), np.int64)
-    i, bands = np.repeat(ids, counts), np.repeat(bands, counts)
+    column = lambda name, kind: np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
+    ids, bands, spare, counts, k = column("ids", np.int64), column("bands", np.uint8), column("spare", np.int32), column("counts", np.uint32), column("keys", np.int64)
+    entry = np.repeat(np.arange(len(ids), dtype=np.int32), counts)
     # only keys that occur again matter
     order = np.argsort(k, kind="stable")
     s = k[order]
     same = s[1:] == s[:-1]
     order = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])] if len(s) else order
-    order = order[np.lexsort((i[order], k[order]))]
-    k, i, bands = k[order], i[order], bands[order]
+    order = order[np.lexsort((ids[entry[order]], k[order]))]
+    k, entry = k[order], entry[order]
+    i = ids[entry]
     keep = np.concatenate([[True], (k[1:] != k[:-1]) | (i[1:] != i[:-1])]) if len(k) else np.zeros(0, dtype=bool)
-    k, i, bands = k[keep], i[keep], bands[keep]
+    k, i, entry = k[keep], i[keep], entry[keep]
     first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, dtype=np.int64)
     size = np.diff(np.append(first, len(k)))
     run = np.repeat(np.arange(len(first)), size)
@@ -248,16 +260,19 @@ def _group(t):
     spoke = large[large != first[run[large]]]
     pairs.append(np.stack([i[first[run[spoke]]], i[spoke]], axis=1))
     pairs = np.unique(np.concatenate(pairs), axis=0) if len(k) else np.zeros((0, 2), dtype=np.int64)
-    a, b = np.concatenate([pairs[:, 0], i[large]]), np.concatenate([pairs[:, 1], np.zeros(len(large), dtype=np.int64)])
-    is_pair = np.arange(len(a)) < len(pairs)
-    key, bd = np.concatenate([np.zeros(len(pairs), dtype=np.int64), k[large]]), np.concatenate([np.zeros(len(pairs), dtype=np.int32), bands[large].astype(np.int32)])
-    return pa.table([pa.array(a), pa.array(b, mask=~is_pair), pa.array(key, mask=is_pair), pa.array(bd, mask=is_pair)], names=["a", "b", "key", "band"])
+    a, is_pair = np.concatenate([pairs[:, 0], i[large]]), np.arange(len(pairs) + len(large)) < len(pairs)
+    member = lambda x, kind: pa.array(np.concatenate([np.zeros(len(pairs), dtype=kind), x[large].astype(kind)]), mask=is_pair)
+    b = pa.array(np.concatenate([pairs[:, 1], np.zeros(len(large), dtype=np.int64)]), mask=~is_pair)
+    return pa.table([pa.array(a), b, member(k, np.int64), member(bands[entry], np.int32), member(spare[entry], np.int32)], names=["a", "b", "key", "band", "spare"])
 
 
-def _read_again(docs: DataFrame, wanted: DataFrame, extra: list[str], *, id_col: str, text_col: str) -> DataFrame:
+def _read_again(docs: DataFrame, wanted: DataFrame, extra: list[str], *, id_col: str, text_col: str, longs: Column | None = None) -> DataFrame:
     """(text, id, *extra) of one document for each row (id, label, *extra) of wanted."""
     w = wanted.select(F.col("label").alias("_label"), F.col("id").alias("_id"), *extra)
-    if w.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    small = w.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    if small and longs is not None:
+        small = (w.agg(F.sum(longs)).first()[0] or 0) <= BROADCAST_LONGS
+    if small:
         w = F.broadcast(w)
     d = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
     return d.join(w, F.col("_doc").eqNullSafe(F.col("_label"))).select("_text", "_id", *extra)
@@ -303,50 +318,105 @@ def verify(docs: DataFrame, sets: DataFrame, pairs: DataFrame, *, id_col: str =
     return out
 
 
-def _second_round(docs: DataFrame, sets: DataFrame, members: DataFrame, roots: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
-    """Pairs (a, b) of ids from different components that may be linked and that no earlier pair covers. members: (a, key, band) of large groups."""
-    m = members.select(F.col("a").alias("id"), "key", "band").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+def _open(members: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """(id, key, band, root, n, used): the members of large groups whose sets are in different components yet, written.
+
+    Each set passes over its most crowded open keys, as many as it can spare (used false). Crowding orders all
+    keys alike, so the least crowded key that two linked sets share is used by both.
+    """
+    m = members.select(F.col("a").alias("id"), "key", "band", "spare").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     open_keys = m.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")).filter("lo < hi").select("key", "size")
-    m = materialize(m.join(open_keys, "key").join(sets.select("id", "n"), "id").select("id", "key", "band", "root", "n", "size"), "open")
+    m = m.join(open_keys, "key").withColumn("at", F.row_number().over(Window.partitionBy("id", "band").orderBy(F.desc("size"), F.desc("key"))))
+    return materialize(m.join(sets.select("id", "n"), "id").select("id", "key", "band", "root", "n", (F.col("at") > F.col("spare")).alias("used")), "open")
+
+
+def _stars(m: DataFrame, seed: int) -> DataFrame:
+    """Pairs (a, b): the members of each open key with one of them, another for each key and seed; across components only."""
+    centre = m.groupBy("key").agg(F.min_by(F.struct("id", "root", "n"), F.xxhash64("id", "key", F.lit(seed))).alias("c")).select("key", F.col("c.id").alias("b"), F.col("c.root").alias("rb"), F.col("c.n").alias("nb"))
+    return m.join(centre, "key").filter((F.col("root") != F.col("rb")) & (3 * F.greatest("n", "nb") <= 4 * F.least("n", "nb"))).select(F.col("id").alias("a"), "b").distinct()
+
+
+def _all_left(docs: DataFrame, sets: DataFrame, m: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
+    """Pairs (a, b) of ids from different components that may be linked and that no earlier pair covers. m: the open members of large groups."""
 
     def across(rows: DataFrame) -> DataFrame:
         x, y = rows.select("key", F.col("id").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na")), rows.select("key", F.col("id").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
         return x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & (3 * F.greatest("na", "nb") <= 4 * F.least("na", "nb"))).select("a", "b")
 
-    pairs = across(m.filter(F.col("size") <= HOT))
-    hot = m.filter(F.col("size") > HOT)
-    if not hot.limit(1).count():
+    used = m.filter("used")
+    crowded = used.groupBy("key").agg(F.count("*").alias("size")).filter(F.col("size") > HOT).select("key")
+    crowded = materialize(crowded, "crowded")
+    pairs = across(used.join(crowded, "key", "left_anti"))
+    if not crowded.limit(1).count():
         return pairs
-    # which sets cannot pass over their hot keys, band by band
-    over = hot.groupBy("id", "band").agg(F.collect_set("key").alias("hot_keys"), F.first("root").alias("root"))
-    over = over.join(sets.select("id", "label"), "id").withColumn("info", F.struct("band", "hot_keys", "root"))
+    # the sets that still use a crowded key, and the keys they cannot count on
+    idle = m.join(crowded.withColumn("hot", F.lit(True)), "key", "left").filter(~F.col("used") | F.col("hot"))
+    over = idle.groupBy("id", "band").agg(F.collect_set("key").alias("hot_keys"), F.first("root").alias("root"), F.max((F.col("used") & F.col("hot")).cast("int")).alias("bound")).filter("bound = 1").drop("bound")
+    over = materialize(over.join(sets.select("id", "label"), "id").withColumn("info", F.struct("band", "hot_keys", "root")), "over")
 
     def allocate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, kinds = ("id", "root", "n", "key", "role"), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
+        rows: list[list[np.ndarray]] = []
+
+        def flush() -> pa.RecordBatch:
+            cols = [np.concatenate([r[i] for r in rows]) if rows else np.zeros(0, dtype=np.int64) for i in range(5)]
+            rows.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c).cast(t) for c, t in zip(cols, kinds, strict=True)], names=names)
+
+        held = 0
         for b in batches:
-            rows = []
             for t, want, info in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 h, k = shingles(t), info["band"]
                 if set_id(h) != want:
                     continue
-                own = keys(h, k)
-                hot_here = np.isin(own, np.array(info["hot_keys"], dtype=np.int64).view(U))
-                need = most_differing(len(h), k) + 1
-                cold = len(own) - int(hot_here.sum())
+                own = keys(h, k).view(np.int64)
+                is_cold = ~np.isin(own, np.array(info["hot_keys"], dtype=np.int64))
+                need, cold = most_differing(len(h), k) + 1, int(is_cold.sum())
                 if cold >= need:
                     continue
-                tail = (want, k, info["root"], len(h))
-                if 2 * cold < need:
-                    rows += [(*tail, int(x), 2) for x in np.array(info["hot_keys"], dtype=np.int64)]
-                gone, at = deletions(h, k)
-                rows += [(*tail, int(x), 0) for x in own.view(np.int64)] + [(*tail, int(x), 1) for x in gone.view(np.int64)]
-            cols = list(zip(*rows, strict=True)) if rows else [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()), strict=True)], names=["id", "band", "root", "n", "key", "role"])
-
-    w = small_batches(_read_again(docs, over, ["info"], id_col=id_col, text_col=text_col)).mapInArrow(allocate, "id long, band int, root long, n long, key long, role int")
+                gone, at, sizes = deletions(h, k)
+                # segments that others do not crowd stand for two, the largest ones: with an element less they are
+                # least likely to look like what many sets have; one of one element could be empty in a partner
+                able = np.flatnonzero(is_cold & (sizes > 1))
+                enough = cold + len(able) >= need
+                double = able[np.argsort(-sizes[able], kind="stable")][: need - cold if enough else 0]
+                every = ((SAME, own[is_cold]), (WHOLE, own[double]), (LESS, gone[np.isin(at, double)]), (ANY_WHOLE, own), (ANY_LESS, gone), (ELEMENT, h.view(np.int64)))
+                found, roles = np.concatenate([x for _, x in every]), np.repeat([r for r, _ in every], [len(x) for _, x in every])
+                rows.append([np.full(len(found), want), np.full(len(found), info["root"]), np.full(len(found), len(h)), found, roles])
+                held += len(found)
+                if held > 100_000:
+                    yield flush()
+                    held = 0
+        yield flush()
+
+    w = small_batches(_read_again(docs, over, ["info"], id_col=id_col, text_col=text_col, longs=F.size("info.hot_keys") + 8)).mapInArrow(allocate, "id long, root long, n long, key long, role int")
     w = materialize(w.distinct(), "allocated")
-    whole, less = w.filter("role = 0").select("key", F.col("id").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na")), w.filter("role = 1").select("key", F.col("id").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
-    deleted = whole.join(less, "key").filter((F.col("a") != F.col("b")) & (F.col("ra") != F.col("rb")) & (3 * F.greatest("na", "nb") <= 4 * F.least("na", "nb"))).select("a", "b")
-    return pairs.unionByName(deleted).unionByName(across(w.filter("role = 2")))
+    # allocation by cost: a set whose reduced segments would meet too many others is matched by its elements instead
+    met = w.filter(F.col("role").isin(ANY_WHOLE, ANY_LESS)).groupBy("key", (F.col("role") == ANY_LESS).alias("less")).agg(F.count("*").alias("others"))
+    probes = w.filter(F.col("role").isin(WHOLE, LESS, SAME)).withColumn("less", F.col("role") == WHOLE)
+    # a set that has no segment standing for two cannot be matched by segments at all
+    able = probes.filter(F.col("role") == WHOLE).select("id").distinct()
+    cost = probes.join(able, "id", "left_semi").join(met, ["key", "less"], "left").groupBy("id").agg(F.coalesce(F.sum("others"), F.lit(0)).alias("cost"))
+    by_segment = materialize(cost.filter(F.col("cost") <= DEAR).select("id"), "cheap")
+    probe = materialize(probes.join(by_segment, "id", "left_semi").select("id", "root", "n", "key", "role"), "probes")
+    # linked sets share one of their rarest elements: of n, at most n - ceil(3n/4) are not shared with a smaller set
+    # and n - ceil(6n/7) not with a larger one; and behind the first one that they share, in the same order, both
+    # have enough elements left to share
+    elements = w.filter(F.col("role") == ELEMENT).join(by_segment, "id", "left_anti").dropDuplicates(["id", "key"])
+    often = elements.groupBy("key").agg(F.count("*").alias("df"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "key"))
+    rarest = elements.join(often, "key").withColumn("rank", rank).filter((F.col("rank") <= F.col("n") - F.ceil(0.75 * F.col("n")) + 1) & (F.col("df") > 1))
+    rarest = materialize(rarest.select("id", "root", "n", "key", "rank"), "rarest")
+    side = lambda rows, x, *more: rows.select("key", F.col("id").alias(x), F.col("root").alias(f"r{x}"), F.col("n").alias(f"n{x}"), *[F.col(c).alias(f"{c}_{x}") for c in more])
+    differ = (F.col("a") != F.col("b")) & (F.col("ra") != F.col("rb")) & (3 * F.greatest("na", "nb") <= 4 * F.least("na", "nb"))
+    for mine, theirs in ((WHOLE, ANY_LESS), (LESS, ANY_WHOLE), (SAME, ANY_WHOLE)):
+        found = side(probe.filter(F.col("role") == mine), "a").join(side(w.filter(F.col("role") == theirs), "b"), "key").filter(differ)
+        pairs = pairs.unionByName(found.select("a", "b"))
+    smaller = side(rarest.filter(F.col("rank") <= F.col("n") - F.ceil(6 * F.col("n") / 7) + 1), "a", "rank")
+    left = 1 + F.least(F.col("na") - F.col("rank_a"), F.col("nb") - F.col("rank_b"))
+    found = smaller.join(side(rarest, "b", "rank"), "key").filter(differ & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))) & (7 * left >= 3 * (F.col("na") + F.col("nb"))))
+    pairs = pairs.unionByName(found.select("a", "b"))
+    return pairs
 
 
 def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -355,17 +425,22 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     total = m.agg(F.sum("n").alias("n")).first().n or 0
     ranges = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total * 0.7) // TASK_KEYS))
     sets = m.filter("n > 0").groupBy("id").agg(F.min("doc_id").alias("label"), F.max("n").alias("n"), F.max("bitmap").alias("bitmap"))
-    grouped = materialize(signatures(docs, ranges, text_col=text_col).groupBy("p").applyInArrow(_group, "a long, b long, key long, band int"), "grouped")
+    grouped = materialize(signatures(docs, ranges, text_col=text_col).groupBy("p").applyInArrow(_group, "a long, b long, key long, band int, spare int"), "grouped")
     touched = grouped.select(F.col("a").alias("id")).unionByName(grouped.filter("key is null").select(F.col("b").alias("id"))).distinct()
     sets = materialize(sets.join(touched, "id", "left_semi"), "touched")
     how = {"id_col": id_col, "text_col": text_col}
     links = verify(docs, sets, grouped.filter("key is null").select("a", "b"), **how)
     roots = connected_components(links)
     members = grouped.filter("key is not null")
-    if members.limit(1).count():
-        more = verify(docs, sets, _second_round(docs, sets, members, roots, **how), **how)
-        if more.limit(1).count():
-            roots = connected_components(links.unionByName(more))
+    for seed in range(STAR_ROUNDS + 1):
+        left = _open(members, sets, roots)
+        if not left.limit(1).count():
+            break
+        found = verify(docs, sets, _stars(left.filter("used"), seed) if seed < STAR_ROUNDS else _all_left(docs, sets, left, **how), **how)
+        discard(left)
+        if found.limit(1).count():
+            links = links.unionByName(found)
+            roots = connected_components(links)
     labels = roots.join(sets.select(F.col("id").alias("node"), "label"), "node")
     named = labels.groupBy("root").agg(F.min("label").alias("component"))
     named = materialize(labels.join(named, "root").select(F.col("node").alias("id"), "component"), "named")
