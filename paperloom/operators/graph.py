@@ -111,7 +111,7 @@ def communities(edges: DataFrame, resolution: float = 1.5, most_nodes: int = 5_0
         found = modularity_moves({(a, b): float(w) for a, b, w in zip(pdf["keyword_a"], pdf["keyword_b"], pdf["weight"], strict=True)}, resolution)
         return pd.DataFrame({"node": list(found), "community": list(found.values())}, columns=["node", "community"])
 
-    return edges.select("keyword_a", "keyword_b", "weight").groupBy(F.lit(1)).applyInPandas(run, "node string, community string")
+    return edges.select("keyword_a", "keyword_b", "weight", F.lit(1).alias("graph")).groupBy("graph").applyInPandas(run, "node string, community string")
 
 
 def label_propagation(edges: DataFrame, rounds: int = 10) -> DataFrame:
