@@ -431,7 +431,10 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     how = {"id_col": id_col, "text_col": text_col}
     links = verify(docs, sets, grouped.filter("key is null").select("a", "b"), **how)
     roots = connected_components(links)
-    members = grouped.filter("key is not null")
+    # a set that can pass over all its keys of larger groups needs none of them
+    held = F.count("*").over(Window.partitionBy("a", "band"))
+    members = grouped.filter("key is not null").select("a", "key", "band", "spare").withColumn("held", held).filter("held > spare").drop("held")
+    members = materialize(members, "members")
     for seed in range(STAR_ROUNDS + 1):
         left = _open(members, sets, roots)
         if not left.limit(1).count():
