@@ -31,8 +31,8 @@ from .common import small_batches, table
 
 MAX_GRAM = 5
 SAMPLE_DOCS = 2_000
-MAX_WORDS = 200_000
-MAX_GRAMS = 200_000
+MAX_WORDS = 100_000
+MAX_GRAMS = 100_000
 #: Unseen words remembered by a worker before it forgets them all.
 MEMO = 200_000
 ALPHA = 0.05
@@ -58,26 +58,24 @@ def grams(word: str, n: int) -> list[str]:
 
 
 class Model:
-    """rows: word -> row of scores; levels[n]: n-gram -> row of gram_scores."""
+    """words: word -> row of word_scores; levels[n]: n-gram -> row, and scores. counts: pieces and a matrix of counts, one column a language."""
 
-    def __init__(self, langs: list[str], word_counts: dict[str, dict[str, int]], gram_counts: dict[str, dict[str, int]]):
+    def __init__(self, langs: list[str], word_counts: tuple[list[str], np.ndarray], gram_counts: tuple[list[str], np.ndarray]):
         self.langs = langs
-        at = {k: i for i, k in enumerate(langs)}
-        self.words, self.word_scores = self._scores(word_counts, at)
+        self.words, self.word_scores = self._scores(*word_counts)
+        pieces, counts = gram_counts
+        sizes = np.array([len(g) for g in pieces], dtype=np.int64)
         self.levels = {}
         for n in range(1, MAX_GRAM + 1):
-            self.levels[n] = self._scores({g: c for g, c in gram_counts.items() if len(g) == n}, at)
+            at = np.flatnonzero(sizes == n)
+            self.levels[n] = self._scores([pieces[i] for i in at], counts[at])
 
     @staticmethod
-    def _scores(counts: dict[str, dict[str, int]], at: dict[str, int]) -> tuple[dict[str, int], np.ndarray]:
-        rows = {w: i for i, w in enumerate(sorted(counts))}
-        m = np.full((len(rows), len(at)), ALPHA)
-        for w, by in counts.items():
-            for lang, n in by.items():
-                m[rows[w], at[lang]] += n
-        if len(rows):
+    def _scores(pieces: list[str], counts: np.ndarray) -> tuple[dict[str, int], np.ndarray]:
+        m = counts + ALPHA
+        if len(pieces):
             m = np.log(m / m.sum(axis=0, keepdims=True))
-        return rows, m.astype(np.float32)
+        return {w: i for i, w in enumerate(pieces)}, m.astype(np.float32)
 
     def backoff(self, word: str) -> np.ndarray:
         for n in range(min(MAX_GRAM, len(word) + 2), 0, -1):
@@ -150,10 +148,11 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     d = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
     per = {r.lang: r.n for r in d.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not per:
-        return Model([], {}, {})
+        return Model([], ([], np.zeros((0, 0))), ([], np.zeros((0, 0))))
+    langs = sorted(per)
     share = F.element_at(F.create_map(*[x for k, n in per.items() for x in (F.lit(k), F.lit(min(1.0, sample_docs / n)))]), F.col("lang"))
     sample = d.filter(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < share * F.lit(1 << 30)).select("lang", "text")
-    counts = small_batches(sample).mapInArrow(_count, "lang string, is_word boolean, piece string, n long").groupBy("is_word", "piece").agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by"))
+    counts = small_batches(sample).mapInArrow(_count, "lang string, is_word boolean, piece string, n long").groupBy("is_word", "piece").agg(F.sum("n").alias("total"), *[F.coalesce(F.sum(F.when(F.col("lang") == k, F.col("n"))), F.lit(0)).alias(f"n{i}") for i, k in enumerate(langs)])
     counts = materialize(counts, "langid")
     found = []
     for is_word, most in ((True, max_words), (False, max_grams)):
@@ -164,16 +163,10 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             if left > most:
                 least = max(least, r["total"] + 1)
                 break
-        rows = own.filter(F.col("total") >= least).select("piece", "by").toPandas()
-        pieces: dict[str, dict[str, int]] = {}
-        for piece, by in zip(rows["piece"], rows["by"], strict=True):
-            sums: dict[str, int] = {}
-            for x in by:
-                sums[x["lang"]] = sums.get(x["lang"], 0) + x["n"]
-            pieces[piece] = sums
-        found.append(pieces)
+        rows = own.filter(F.col("total") >= least).select("piece", *[f"n{i}" for i in range(len(langs))]).toArrow()
+        found.append((rows.column(0).to_pylist(), np.stack([c.to_numpy() for c in rows.columns[1:]], axis=1).astype(np.float64)))
     discard(counts)
-    return Model(sorted(per), *found)
+    return Model(langs, *found)
 
 
 def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
