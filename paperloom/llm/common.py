@@ -12,7 +12,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LOWER_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 #: Arrow batches hand Python workers whole texts; a batch of very long ones stays this small.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 2_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,7 @@ def small_batches(df: DataFrame) -> DataFrame:
     """Bounds the memory of the Python workers that read df, and lets them import this package."""
     ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df
 
 

@@ -12,8 +12,10 @@ is compared, by the hash of the whole window, with its neighbours in the order o
 Windows that agree and touch merge into passages of any length. As each window belongs to exactly
 one kept suffix, in every copy to the same one, no repeat of ``MIN_WORDS`` words is missed.
 
-Grouping is by pre-aggregated least and greatest document of a hash, never by lists: a passage that
-a third of all documents share is two numbers, and its rows are split where they are joined again.
+Prefixes are grouped by pre-aggregated least and greatest document, never by lists. Windows travel
+packed, as arrays by (batch, prefix range), and a task sorts those of one range; windows of prefixes
+with over ``HOT_ROWS`` rows (a passage that a third of all documents share) go as rows instead, are
+pre-aggregated as well and split where they are joined again.
 
 Result: one row for each document with a passage that another document has, with all such passages
 (spans of words, end exclusive) and those of them to drop: all but the occurrence in the document
@@ -41,7 +43,10 @@ from .jaccard_join import U, mix
 MIN_WORDS = 50
 PREFIX = 8
 BASE = 0x9E3779B97F4A7C15 | 1
-BROADCAST_ROWS = 300_000
+#: A prefix of more rows is compared by pre-aggregated rows, any other within one range of prefixes, whose windows fit a task.
+HOT_ROWS = 100_000
+#: Windows that one task sorts at once.
+TASK_WINDOWS = 500_000
 
 
 def word_hashes(text: str | None) -> np.ndarray:
@@ -96,54 +101,127 @@ def kept_suffixes(docs: DataFrame, min_words: int, prefix: int) -> DataFrame:
 
 
 def repeated(rows: DataFrame, key: str) -> DataFrame:
-    """rows whose key occurs in more than one document, with the least such document."""
-    shared = rows.groupBy(key).agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc")).filter("first_doc < last_doc").select(F.col(key).alias("_key"), "first_doc")
+    """rows whose key occurs in more than one document, with the least such document and the number of rows (n_rows)."""
+    shared = rows.groupBy(key).agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"), F.count("*").alias("n_rows")).filter("first_doc < last_doc").select(F.col(key).alias("_key"), "first_doc", "n_rows")
     shared = materialize(shared, "shared")
     return rows.join(shared, rows[key] == shared["_key"]).drop("_key")
 
 
+def _windows(text: str | None, own: list[int], min_words: int, prefix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """Of the kept suffixes at own: the hashes of the windows they stand for, suffix by suffix, each suffix's first window,
+    how many it has, the hash of its prefix; and the number of words. A suffix's windows begin one after another."""
+    w = word_hashes(text)
+    prefixes = window_hashes(w, prefix)
+    at = minimisers(prefixes, min_words, prefix)
+    found = np.flatnonzero(np.isin(at, np.array(own, dtype=np.int64)))
+    cut = np.flatnonzero(np.concatenate([[True], at[found][1:] != at[found][:-1]])) if len(found) else found
+    return window_hashes(w, min_words)[found], found[cut].astype(np.int32), np.diff(np.append(cut, len(found))).astype(np.uint32), prefixes[at[found[cut]]], len(w)
+
+
+def _spread(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """first[0], first[0]+1, ... counts[0] times, then from first[1], and so on."""
+    ends = np.cumsum(counts, dtype=np.int64)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first.astype(np.int64) - ends + counts, counts)
+
+
+def _compare(t):
+    """Of one range of prefixes: for each document the runs of its windows that another one has, and whether that one comes first."""
+    column = lambda name, kind: np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
+    docs, counts, sizes, h = t.column("docs").combine_chunks().flatten(), column("counts", np.uint32), column("sizes", np.int32), column("hashes", U)
+    starts = _spread(column("starts", np.int32), counts)
+    names, code = np.unique(docs.to_numpy(zero_copy_only=False), return_inverse=True)
+    words = np.zeros(len(names), dtype=np.int64)
+    words[code] = sizes
+    doc = np.repeat(code, counts)
+    order = np.lexsort((doc, h))
+    h, doc, starts = h[order], doc[order], starts[order]
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, dtype=np.int64)
+    size = np.diff(np.append(first, len(h)))
+    # sorted by document as well: neighbours of one hash differ if its first and last do
+    least, most = np.repeat(doc[first], size), np.repeat(doc[first + size - 1], size)
+    keep = np.flatnonzero(least != most)
+    keep = keep[np.lexsort((starts[keep], doc[keep]))]
+    doc, starts, least = doc[keep], starts[keep], least[keep]
+    later = least < doc
+    new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (starts[1:] != starts[:-1] + 1) | (later[1:] != later[:-1])]) if len(doc) else np.zeros(0, dtype=bool)
+    run = np.flatnonzero(new)
+    cut = np.flatnonzero(np.concatenate([[True], doc[run][1:] != doc[run][:-1]])) if len(run) else run
+    edges = pa.array(np.append(cut, len(run)).astype(np.int32))
+    taken = doc[run][cut]
+    lists = lambda x, kind: pa.ListArray.from_arrays(edges, pa.array(x, kind))
+    by = lambda x: pa.array(names[x].tolist(), docs.type)
+    ends = starts[np.append(run[1:], len(doc)) - 1] if len(run) else starts
+    return pa.table([by(taken), pa.array(words[taken]), lists(starts[run], pa.int32()), lists(ends, pa.int32()), lists(later[run], pa.bool_()), by(np.minimum.reduceat(least, run[cut]) if len(cut) else least)], names=["doc", "n_words", "starts", "ends", "later", "first_doc"])
+
+
 def passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, prefix: int = PREFIX) -> DataFrame:
     """(id, n_words, n_repeated, spans, n_drop, drop_spans, first_doc)."""
     kind = dict(docs.dtypes)[id_col]
     d = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).filter(F.col("doc").isNotNull() & F.col("text").isNotNull())
     suffixes = materialize(kept_suffixes(d, min_words, prefix), "suffixes")
-    places = repeated(suffixes, "key").groupBy("doc").agg(F.collect_set("pos").alias("places"))
+    hot = F.col("n_rows") > HOT_ROWS
+    places = repeated(suffixes, "key").groupBy("doc").agg(F.collect_set(F.when(~hot, F.col("pos"))).alias("places"), F.collect_set(F.when(hot, F.col("pos"))).alias("hot_places"))
     places = materialize(places, "places")
-    p = F.broadcast(places) if places.agg(F.coalesce(F.sum(F.size("places") + 8), F.lit(0))).first()[0] <= 8 * BROADCAST_ROWS else places
+    size = places.agg(F.sum(F.size("places")).alias("cold"), F.sum(F.size("hot_places")).alias("hot")).first()
+    # the places grow with the corpus, so the texts are dealt out by document whatever the size
+    marked = d.join(places.hint("merge"), "doc").select("doc", "text", "places", "hot_places")
+    spark = docs.sparkSession
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size.cold or 0) * (min_words - prefix + 2) // 2 // TASK_WINDOWS))
 
-    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hashes, starts, sizes, at = [], [], [], []
-            for t, own in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                w = word_hashes(t)
-                found = np.flatnonzero(np.isin(minimisers(window_hashes(w, prefix), min_words, prefix), np.array(own)))
-                hashes.append(window_hashes(w, min_words)[found].view(np.int64))
-                starts.append(found.astype(np.int32))
-                sizes.append(np.full(len(found), len(w), dtype=np.int32))
-                at.append(len(found))
-            yield _rows([hashes, starts, sizes], [pa.int64(), pa.int32(), pa.int32()], at, b.column(0), ["doc", "hash", "start", "n_words"])
-
-    windows = small_batches(d.join(p, "doc").select("doc", "text", "places")).mapInArrow(extend, f"doc {kind}, hash long, start int, n_words int")
-    windows = materialize(windows, "windows")
-    found = repeated(windows, "hash").groupBy("doc").agg(F.max("n_words").cast("long").alias("n_words"), F.array_sort(F.collect_set(F.struct("start", (F.col("first_doc") < F.col("doc")).alias("later")))).alias("starts"), F.min("first_doc").alias("first_doc"))
+            found = [_windows(t, own, min_words, prefix) for t, own in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+            if not found:
+                continue
+            h, starts, counts, prefixes = (np.concatenate([x[i] for x in found]) for i in range(4))
+            owner, sizes = np.repeat(np.arange(len(found)), [len(x[1]) for x in found]), np.array([x[4] for x in found], dtype=np.int32)
+            part = (((prefixes >> U(32)) * U(ranges)) >> U(32)).astype(np.int32)
+            order = np.argsort(part, kind="stable")
+            h = h[_spread((np.cumsum(counts, dtype=np.int64) - counts)[order], counts[order])]
+            starts, counts, owner, part = starts[order], counts[order], owner[order], part[order]
+            at = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+            edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else [0]
+            rows = []
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                own = owner[lo:hi]
+                rows.append((int(part[lo]), own, sizes[own].tobytes(), counts[lo:hi].tobytes(), h[at[lo] : at[hi]].tobytes(), starts[lo:hi].tobytes()))
+            if rows:
+                offsets = pa.array(np.cumsum([0] + [len(r[1]) for r in rows]).astype(np.int32))
+                ids = pa.ListArray.from_arrays(offsets, b.column(0).take(pa.array(np.concatenate([r[1] for r in rows]))))
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), ids, *[pa.array([r[i] for r in rows], pa.binary()) for i in (2, 3, 4, 5)]], names=["p", "docs", "sizes", "counts", "hashes", "starts"])
+
+    packed = small_batches(marked.filter(F.size("places") > 0).select("doc", "text", "places")).mapInArrow(deal, f"p int, docs array<{kind}>, sizes binary, counts binary, hashes binary, starts binary")
+    found = packed.groupBy("p").applyInArrow(_compare, f"doc {kind}, n_words long, starts array<int>, ends array<int>, later array<boolean>, first_doc {kind}")
+    if size.hot:
+        # prefixes that very many documents have: rows, pre-aggregated by window, so that no task holds all of one
+
+        def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                every = [_windows(t, own, min_words, prefix) for t, own in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+                at = [len(x[0]) for x in every]
+                yield _rows([[x[0].view(np.int64) for x in every], [_spread(x[1], x[2]).astype(np.int32) for x in every], [np.full(len(x[0]), x[4], dtype=np.int32) for x in every]], [pa.int64(), pa.int32(), pa.int32()], at, b.column(0), ["doc", "hash", "start", "n_words"])
+
+        windows = small_batches(marked.filter(F.size("hot_places") > 0).select("doc", "text", "hot_places")).mapInArrow(extend, f"doc {kind}, hash long, start int, n_words int")
+        more = repeated(materialize(windows, "windows"), "hash").groupBy("doc").agg(F.max("n_words").cast("long").alias("n_words"), F.collect_list("start").alias("starts"), F.collect_list("start").alias("ends"), F.collect_list(F.col("first_doc") < F.col("doc")).alias("later"), F.min("first_doc").alias("first_doc"))
+        found = found.unionByName(more)
+    found = found.groupBy("doc").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"), F.flatten(F.collect_list("later")).alias("later"), F.min("first_doc").alias("first_doc"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def spans(at: list[int]) -> list[list[int]]:
-            out: list[list[int]] = []
-            for s in at:
-                if out and s <= out[-1][1]:
-                    out[-1][1] = s + min_words
-                else:
-                    out.append([s, s + min_words])
-            return out
+        def spans(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
+            if not len(starts):
+                return []
+            order = np.argsort(starts, kind="stable")
+            lo, hi = starts[order], np.maximum.accumulate(ends[order] + min_words)
+            cut = np.flatnonzero(lo[1:] > hi[:-1])
+            return list(zip(lo[np.append(0, cut + 1)].tolist(), hi[np.append(cut, len(lo) - 1)].tolist(), strict=True))
 
         for b in batches:
             cols = [b.column(0), b.column(1)]
-            starts = b.column(2).to_pylist()
-            for chosen in ([[x["start"] for x in s] for s in starts], [[x["start"] for x in s if x["later"]] for s in starts]):
-                every = [spans(sorted(set(c))) for c in chosen]
+            runs = list(zip(*([np.array(x) for x in b.column(i).to_pylist()] for i in (2, 3, 4)), strict=True))
+            for chosen in ([(s, e) for s, e, _ in runs], [(s[f], e[f]) for s, e, f in runs]):
+                every = [spans(s, e) for s, e in chosen]
                 cols += [pa.array([sum(e - s for s, e in x) for x in every], pa.int64()), pa.array([",".join(f"{s}:{e}" for s, e in x) for x in every], pa.string())]
-            yield pa.RecordBatch.from_arrays([*cols, b.column(3)], names=["doc", "n_words", "n_repeated", "spans", "n_drop", "drop_spans", "first_doc"])
+            yield pa.RecordBatch.from_arrays([*cols, b.column(5)], names=["doc", "n_words", "n_repeated", "spans", "n_drop", "drop_spans", "first_doc"])
 
     out = small_batches(found).mapInArrow(merge, f"doc {kind}, n_words long, n_repeated long, spans string, n_drop long, drop_spans string, first_doc {kind}")
     return out.withColumnRenamed("doc", id_col)
