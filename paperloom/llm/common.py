@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import inspect
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,3 +44,42 @@ def let(value: Column, body) -> Column:
 def row_key(text: Column) -> Column:
     """Tells rows of one id but different texts apart; null has a key of its own."""
     return F.xxhash64(F.coalesce(text, F.lit("\u0000null")))
+
+
+def _release() -> None:
+    """Gives memory that a finished task no longer needs back to the system: workers are kept and used again."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidied(f):
+    """f, a function of Arrow batches or of a group, releasing memory when it ends."""
+    if inspect.isgeneratorfunction(f):
+
+        def run(batches):
+            try:
+                yield from f(batches)
+            finally:
+                _release()
+
+    elif len(inspect.signature(f).parameters) == 1:
+
+        def run(t):
+            try:
+                return f(t)
+            finally:
+                _release()
+
+    else:
+
+        def run(key, t):
+            try:
+                return f(key, t)
+            finally:
+                _release()
+
+    return run

@@ -21,6 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.store import materialize
 from .common import let, lower_ascii, row_key
 
 #: Words after A-Z are lower-cased.
@@ -30,6 +31,8 @@ WINDOW = 13
 RATIO = 20
 #: 100,000 windows of 13 words are about 10 MB as a broadcast relation, 400 KB as a bit filter.
 MAX_BROADCAST_WINDOWS = 100_000
+#: Contaminated rows of which ids and keys are broadcast (about 20 MB).
+BROADCAST_ROWS = 500_000
 
 
 def words_of(text: Column) -> Column:
@@ -146,6 +149,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
 def remove_documents(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """docs without the contaminated rows, all columns kept."""
     bad = contamination(docs, benchmark, id_col=id_col, text_col=text_col, **how).filter("contaminated").select(F.col("id").alias("_bad_id"), F.col("row_key").alias("_bad_key")).distinct()
+    bad = materialize(bad, "contaminated")
+    if bad.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        bad = F.broadcast(bad)
     return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad_id"]) & (row_key(docs[text_col]) == bad["_bad_key"]), "left_anti")
 
 

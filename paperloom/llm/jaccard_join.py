@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..operators.store import discard, materialize
-from .common import LOWER_BYTES, small_batches, table
+from .common import LOWER_BYTES, small_batches, table, tidied
 
 WORDS = 5
 #: Jaccard >= 3/4: at most (|X|+|Y|)/7 elements differ, and sizes differ by 4/3 at most.
@@ -52,7 +52,7 @@ SLACK = 0.2
 SINGLES = 32
 SMALL, HOT = 4, 64
 #: Keys that one task sorts at once.
-TASK_KEYS = 1_500_000
+TASK_KEYS = 800_000
 #: Below this many, ids of documents to be read again are broadcast (16 MB).
 BROADCAST_ROWS = 1_000_000
 #: Longs of those that carry lists of keys (32 MB).
@@ -183,6 +183,7 @@ def _batch(cols: dict, schema: list[tuple]) -> pa.RecordBatch:
 def describe(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, id, n, bitmap): the first pass over the texts."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(t) for t in b.column(1).to_pylist()]
@@ -197,6 +198,7 @@ _PACKED = [("p", pa.int32()), ("ids", pa.binary()), ("bands", pa.binary()), ("sp
 def signatures(docs: DataFrame, ranges: int, *, text_col: str = "text") -> DataFrame:
     """Packed keys: for each batch and key range the sets that have keys there, their bands, how many, and the keys."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             owner, bands, spare, found, ids = [], [], [], [], []
@@ -234,6 +236,7 @@ def signatures(docs: DataFrame, ranges: int, *, text_col: str = "text") -> DataF
     return small_batches(docs.select(F.col(text_col).alias("text"))).mapInArrow(run, "p int, ids binary, bands binary, spare binary, counts binary, keys binary")
 
 
+@tidied
 def _group(t):
     """The pairs of one key range (key null) and the members of its larger groups (b null)."""
     column = lambda name, kind: np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
@@ -282,6 +285,7 @@ def verify(docs: DataFrame, sets: DataFrame, pairs: DataFrame, *, id_col: str =
     """The linked pairs (a, b) of ids, written. sets: (id, label, n, bitmap), one row an id."""
     side = lambda x: sets.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("bitmap").alias(f"bits{x}"))
 
+    @tidied
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             c = {n: b.column(n).to_pylist() for n in b.schema.names}
@@ -294,6 +298,7 @@ def verify(docs: DataFrame, sets: DataFrame, pairs: DataFrame, *, id_col: str =
     wanted = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct()
     wanted = sets.join(wanted, "id", "left_semi").select("id", "label")
 
+    @tidied
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [(want, h.tobytes()) for t, want in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if set_id(h := shingles(t)) == want]
@@ -307,6 +312,7 @@ def verify(docs: DataFrame, sets: DataFrame, pairs: DataFrame, *, id_col: str =
     centres = bodies.join(salts, bodies["id"] == salts["a"]).select("a", F.col("h").alias("ha"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     both = dealt.join(bodies.select(F.col("id").alias("b"), F.col("h").alias("hb")), "b").join(centres, ["a", "salt"]).select("a", "b", "ha", "hb")
 
+    @tidied
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = [linked(np.frombuffer(x, U), np.frombuffer(y, U)) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
@@ -354,6 +360,7 @@ def _all_left(docs: DataFrame, sets: DataFrame, m: DataFrame, *, id_col: str, te
     over = idle.groupBy("id", "band").agg(F.collect_set("key").alias("hot_keys"), F.first("root").alias("root"), F.max((F.col("used") & F.col("hot")).cast("int")).alias("bound")).filter("bound = 1").drop("bound")
     over = materialize(over.join(sets.select("id", "label"), "id").withColumn("info", F.struct("band", "hot_keys", "root")), "over")
 
+    @tidied
     def allocate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, kinds = ("id", "root", "n", "key", "role"), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
         rows: list[list[np.ndarray]] = []
@@ -456,9 +463,14 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
 
 def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component, the one that names it; documents without shingles all stay. Repeated rows of one id are one document."""
-    found = join(docs, id_col=id_col, text_col=text_col).select(F.col(id_col).alias("_id"), "component_id").dropDuplicates(["_id"])
-    keep = found.filter(F.col("_id").eqNullSafe(F.col("component_id"))).select("_id")
-    return docs.dropDuplicates([id_col]).join(keep, docs[id_col].eqNullSafe(keep["_id"]), "left_semi")
+    found = materialize(join(docs, id_col=id_col, text_col=text_col), "joined")
+    keep = materialize(found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias("_id")).agg(F.count("*").alias("_rows")), "keep")
+    if keep.filter("_rows > 1").limit(1).count():
+        docs = docs.dropDuplicates([id_col])
+    kept = keep.select("_id")
+    if kept.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        kept = F.broadcast(kept)
+    return docs.join(kept, docs[id_col].eqNullSafe(kept["_id"]), "left_semi")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

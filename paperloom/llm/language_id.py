@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.store import discard, materialize
-from .common import small_batches, table
+from .common import small_batches, table, tidied
 
 MAX_GRAM = 5
 SAMPLE_DOCS = 2_000
@@ -128,6 +128,7 @@ def held_out(id_col: str):
     return F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(4)) == 2
 
 
+@tidied
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         by: dict[str, Counter] = {}
@@ -173,6 +174,7 @@ def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     """id_col, lang_pred, score: one row for each row of docs."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = shared.value.scorer()
         for b in batches:
@@ -188,6 +190,7 @@ def keep_identified(docs: DataFrame, model: Model, least_score: float, *, text_c
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = shared.value.scorer()
         for b in batches:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import small_batches, table, tidied
 
 WIDTH = 64
 #: Side of the NPY tiles.
@@ -154,6 +154,7 @@ def tile(image: np.ndarray, side: int = TILE) -> bytes:
 def decode_media(media: DataFrame, *, id_col: str = "media_id", data_col: str = "data", side: int = TILE) -> DataFrame:
     """(id, width, height, channels, dhash, tile, error): tile is an NPY file of side x side."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
@@ -174,6 +175,7 @@ def decode_media(media: DataFrame, *, id_col: str = "media_id", data_col: str =
 def encode_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, media): each text as a PGM file."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sizes, files = [], []
@@ -191,6 +193,7 @@ def encode_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 def digest_media(media: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
     """From the stored files alone: payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
         kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.store import materialize
-from .common import small_batches, table
+from .common import small_batches, table, tidied
 
 MAX_TOKENS = 4096
 END_ID = 1
@@ -149,6 +149,7 @@ def pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", p
     """(id, piece, start, length, ids_crc32[, ids]): every document cut into pieces, the end id included."""
     path = path or tokenizer_path()
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         for b in batches:
@@ -226,6 +227,7 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", pat
     cut = materialize(cut.withColumn("u", F.xxhash64("id", "piece", F.monotonically_increasing_id())), "pieces")
     groups = max(1, -(-cut.count() // group_pieces))
 
+    @tidied
     def place(key, t):
         lengths = t.column("length").to_numpy()
         order = np.argsort(t.column("u").to_numpy(), kind="stable")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import small_batches, table, tidied
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "national_id", "iban", "name")
@@ -240,6 +240,7 @@ class Model:
 def fit(docs: DataFrame, *, text_col: str = "text") -> Model:
     """EM and classifier over the votes of all candidates in all texts."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
         for b in batches:
@@ -266,6 +267,7 @@ def find_pii(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     """id, n_email, n_ip, n_card, n_phone, base_sha256, spans: one row for each row of docs."""
     taken = model.accepted()
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
@@ -297,6 +299,7 @@ def mask_pii(docs: DataFrame, model: Model, *, text_col: str = "text", size_col:
     at = docs.columns.index(text_col)
     size_at = docs.columns.index(size_col) if size_col in docs.columns else None
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols = list(b.columns)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.store import materialize
-from .common import small_batches, table
+from .common import small_batches, table, tidied
 
 SHARDS = 40
 SEED = 20_240_229
@@ -59,6 +59,7 @@ def shuffle(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         counts[r["bucket"]] = r["count"]
     starts = docs.sparkSession.sparkContext.broadcast(np.cumsum(counts) - counts)
 
+    @tidied
     def deal(key, t):
         bucket = key[0].as_py()
         order = np.lexsort((t.column("id").to_pandas().to_numpy(), t.column("u").to_numpy()))

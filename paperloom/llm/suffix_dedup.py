@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.store import materialize
-from .common import LOWER_BYTES, small_batches, table
+from .common import LOWER_BYTES, small_batches, table, tidied
 from .jaccard_join import U, mix
 
 MIN_WORDS = 50
@@ -86,6 +86,7 @@ def _rows(cols: list[list[np.ndarray]], kinds: list[pa.DataType], at: list[int],
 def kept_suffixes(docs: DataFrame, min_words: int, prefix: int) -> DataFrame:
     """(doc, key, pos): the sparse suffix array, unsorted. docs: (doc, text)."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, pos, at = [], [], []
@@ -124,6 +125,7 @@ def _spread(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first.astype(np.int64) - ends + counts, counts)
 
 
+@tidied
 def _compare(t):
     """Of one range of prefixes: for each document the runs of its windows that another one has, and whether that one comes first."""
     column = lambda name, kind: np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
@@ -168,6 +170,7 @@ def passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size.cold or 0) * (min_words - prefix + 2) // 2 // TASK_WINDOWS))
 
+    @tidied
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [_windows(t, own, min_words, prefix) for t, own in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
@@ -195,6 +198,7 @@ def passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     if size.hot:
         # prefixes that very many documents have: rows, pre-aggregated by window, so that no task holds all of one
 
+        @tidied
         def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 every = [_windows(t, own, min_words, prefix) for t, own in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
@@ -206,6 +210,7 @@ def passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         found = found.unionByName(more)
     found = found.groupBy("doc").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"), F.flatten(F.collect_list("later")).alias("later"), F.min("first_doc").alias("first_doc"))
 
+    @tidied
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def spans(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
             if not len(starts):
@@ -235,6 +240,7 @@ def drop_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     d = docs.join(found, docs[id_col] == found["_doc"], "left").drop("_doc")
     at, names = docs.columns.index(text_col), docs.columns
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word = re.compile(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
         for b in batches:
