@@ -99,7 +99,7 @@ class Scorer:
     def _forget(self) -> None:
         self.rows = dict(self.model.words)
         self.fill = len(self.model.words)
-        self.scores = np.vstack([self.model.word_scores.reshape(-1, len(self.model.langs)), np.zeros((1024, len(self.model.langs)), dtype=np.float32)])
+        self.scores = np.vstack([self.model.word_scores.reshape(len(self.model.words), len(self.model.langs)), np.zeros((1024, len(self.model.langs)), dtype=np.float32)])
 
     def _row(self, word: str) -> int:
         k = self.rows.get(word)
