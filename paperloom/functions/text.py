@@ -18,7 +18,7 @@ def normalize_author(name: Column) -> Column:
     """'Last, First Middle' of any of 'Last, First', 'First Middle Last' and one word."""
     n = F.trim(F.regexp_replace(name, r"\s+", " "), F.lit(", "))
     parts = F.split(n, " ")
-    after = F.array_join(F.filter(F.transform(F.split(F.regexp_replace(n, r"^[^,]*,", ""), ","), F.trim), lambda x: x != ""), " ")
+    after = F.array_join(F.filter(F.transform(F.split(F.regexp_replace(n, r"^[^,]*,", ""), ","), lambda x: F.trim(x)), lambda x: x != ""), " ")
     plain = F.when(F.size(parts) <= 1, n).otherwise(F.concat_ws(", ", F.element_at(parts, -1), F.array_join(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), " ")))
     return F.when(F.instr(n, ",") > 0, F.concat_ws(", ", F.trim(F.substring_index(n, ",", 1)), F.nullif(after, F.lit("")))).otherwise(plain)
 
@@ -42,7 +42,7 @@ def split_keywords(text: Column) -> Column:
 
 
 def split_stored(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, ";"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, ";"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def normalize_title(title: Column) -> Column:

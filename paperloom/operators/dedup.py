@@ -95,7 +95,7 @@ def embedding_pairs(vectors: DataFrame, over: float = 0.95, id_col: str = "vec_i
     r = (2 - 2 * over) ** 0.5
     v = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v")).filter("v is not null")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    v = v.withColumn("norm", norm).filter("norm > 0").select("id", "v", F.transform("v", lambda x: x.cast("double") / F.col("norm")).alias("u"))
+    v = v.withColumn("norm", norm).filter("norm > 0").select("id", "v", F.transform("v", lambda x: x.cast("double") / F.nullif(F.col("norm"), F.lit(0.0))).alias("u"))
 
     def to_pivot(k: int):
         # pivot k: plus or minus one on every coordinate by a fixed pattern, scaled to a unit vector
