@@ -9,7 +9,9 @@ H <= (|X|+|Y|)/7 elements differ (Jaccard >= 3/4). The universe of shingles is h
 m_k > H_k segments, so a linked pair agrees on at least m_k - H segments. For every segment that
 holds any of its elements a set has a key: the order-free hash of that subset. A set has keys in its
 own band and in a lower band that may hold its partners. Keys travel packed, as arrays by
-(batch, key range), and a task sorts the keys of one key range.
+(batch, key range), and a task sorts the keys of one key range. Of a key its range and its lowest
+five bytes are kept: a range holds about TASK_KEYS keys at any size of the input, so about one pair
+of different keys in a range falls together, and verification drops what that brings.
 
 Candidates. Sets that share a key: groups of up to SMALL give all pairs, larger groups a star
 around their least id in the first round and around others in the next ones. Stars and pairs are thinned by an exact bound (the
@@ -53,6 +55,8 @@ SINGLES = 32
 SMALL, HOT = 4, 64
 #: Keys that one task sorts at once.
 TASK_KEYS = 1_500_000
+#: Bytes of a key that travel; its range stands for the highest bits.
+KEY_BYTES = 5
 #: Below this many, ids of documents to be read again are broadcast (16 MB).
 BROADCAST_ROWS = 1_000_000
 #: Longs of those that carry lists of keys (32 MB).
@@ -142,6 +146,26 @@ def keys(h: np.ndarray, k: int) -> np.ndarray:
     return keyed(segment, total, k)
 
 
+def range_of(k: np.ndarray, ranges: int) -> np.ndarray:
+    return (((k >> U(32)) * U(ranges)) >> U(32)).astype(np.int32)
+
+
+def packed(k: np.ndarray) -> bytes:
+    return np.ascontiguousarray(k.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]).tobytes()
+
+
+def unpacked(data: bytes, part: np.ndarray | int) -> np.ndarray:
+    """The keys that packed() shortened, as longs, with their ranges above."""
+    out = np.zeros((len(data) // KEY_BYTES, 8), dtype=np.uint8)
+    out[:, :KEY_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, KEY_BYTES)
+    return (out.reshape(-1).view("<u8").astype(U) | np.asarray(part).astype(U) << U(8 * KEY_BYTES)).view(np.int64)
+
+
+def shortened(k: np.ndarray, ranges: int) -> np.ndarray:
+    """Keys as they are known once they have travelled."""
+    return unpacked(packed(k), range_of(k, ranges))
+
+
 def deletions(h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys of each segment with one element left out, the place of its segment among the non-empty ones, and those segments' sizes.
 
@@ -216,7 +240,7 @@ def signatures(docs: DataFrame, ranges: int, *, text_col: str = "text") -> DataF
             ids, bands, spare = np.array(ids, dtype=np.int64), np.array(bands, dtype=np.uint8), np.array(spare, dtype=np.int32)
             entry = np.repeat(np.arange(len(found)), [len(x) for x in found])
             every = np.concatenate(found)
-            part = (((every >> U(32)) * U(ranges)) >> U(32)).astype(np.int32)
+            part = range_of(every, ranges)
             order = np.argsort(part, kind="stable")
             part, entry, every = part[order], entry[order], every[order]
             edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
@@ -230,7 +254,7 @@ def signatures(docs: DataFrame, ranges: int, *, text_col: str = "text") -> DataF
                 out["bands"].append(bands[own].tobytes())
                 out["spare"].append(spare[own].tobytes())
                 out["counts"].append(np.diff(np.append(starts, hi - lo)).astype(np.uint32).tobytes())
-                out["keys"].append(every[lo:hi].tobytes())
+                out["keys"].append(packed(every[lo:hi]))
             yield _batch(out, _PACKED)
 
     return small_batches(docs.select(F.col(text_col).alias("text"))).mapInArrow(run, "p int, ids binary, bands binary, spare binary, counts binary, keys binary")
@@ -240,7 +264,8 @@ def signatures(docs: DataFrame, ranges: int, *, text_col: str = "text") -> DataF
 def _group(t):
     """The pairs of one key range (key null) and the members of its larger groups (b null)."""
     column = lambda name, kind: np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
-    ids, bands, spare, counts, k = column("ids", np.int64), column("bands", np.uint8), column("spare", np.int32), column("counts", np.uint32), column("keys", np.int64)
+    ids, bands, spare, counts = column("ids", np.int64), column("bands", np.uint8), column("spare", np.int32), column("counts", np.uint32)
+    k = unpacked(b"".join(t.column("keys").to_pylist()), t.column("p")[0].as_py() if len(t) else 0)
     entry = np.repeat(np.arange(len(ids), dtype=np.int32), counts)
     # only keys that occur again matter
     order = np.argsort(k, kind="stable")
@@ -342,7 +367,7 @@ def _stars(m: DataFrame, seed: int) -> DataFrame:
     return m.join(centre, "key").filter((F.col("root") != F.col("rb")) & (3 * F.greatest("n", "nb") <= 4 * F.least("n", "nb"))).select(F.col("id").alias("a"), "b").distinct()
 
 
-def _all_left(docs: DataFrame, sets: DataFrame, m: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
+def _all_left(docs: DataFrame, sets: DataFrame, m: DataFrame, ranges: int, *, id_col: str, text_col: str) -> DataFrame:
     """Pairs (a, b) of ids from different components that may be linked and that no earlier pair covers. m: the open members of large groups."""
 
     def across(rows: DataFrame) -> DataFrame:
@@ -377,7 +402,7 @@ def _all_left(docs: DataFrame, sets: DataFrame, m: DataFrame, *, id_col: str, te
                 if set_id(h) != want:
                     continue
                 own = keys(h, k).view(np.int64)
-                is_cold = ~np.isin(own, np.array(info["hot_keys"], dtype=np.int64))
+                is_cold = ~np.isin(shortened(own.view(U), ranges), np.array(info["hot_keys"], dtype=np.int64))
                 need, cold = most_differing(len(h), k) + 1, int(is_cold.sum())
                 if cold >= need:
                     continue
@@ -446,7 +471,7 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
         left = _open(members, sets, roots)
         if not left.limit(1).count():
             break
-        found = verify(docs, sets, _stars(left.filter("used"), seed) if seed < STAR_ROUNDS else _all_left(docs, sets, left, **how), **how)
+        found = verify(docs, sets, _stars(left.filter("used"), seed) if seed < STAR_ROUNDS else _all_left(docs, sets, left, ranges, **how), **how)
         discard(left)
         if found.limit(1).count():
             links = links.unionByName(found)
