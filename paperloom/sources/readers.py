@@ -138,6 +138,24 @@ def read_crossref(spark: SparkSession, path: str) -> DataFrame:
     return paper(r, id=F.col("DOI"), doi=normalize_doi(F.col("DOI")), title=F.get("title", 0), authors=F.transform("author", lambda a: F.concat_ws(", ", a["family"], a["given"])), year=F.get(F.get(F.col("issued.date-parts"), 0), 0), journal=F.get("container-title", 0), abstract=F.col("abstract"), keywords=F.transform("subject", lambda s: F.lower(s)), volume=F.col("volume"), pages=F.col("page"), publisher=F.col("publisher"), url=F.col("URL"), entry_type=F.col("type"), source=F.lit("crossref"))
 
 
+def read_semantic_scholar(spark: SparkSession, path: str) -> DataFrame:
+    """Saved result pages of a paper search; a venue is a name or a structure with one."""
+    schema = "data array<struct<paperId:string,title:string,authors:array<struct<name:string>>,year:int,venue:string,abstract:string,externalIds:struct<DOI:string>,citationCount:int>>"
+    r = spark.read.schema(schema).json(path, multiLine=True).select(F.explode("data").alias("r")).select("r.*")
+    venue = F.when(F.col("venue").startswith("{"), F.get_json_object("venue", "$.name")).otherwise(F.col("venue"))
+    return paper(r, id=F.col("paperId"), paper_id=F.col("paperId"), title=F.col("title"), year=F.col("year"), abstract=F.col("abstract"), journal=F.nullif(venue, F.lit("")), doi=normalize_doi(F.col("externalIds.DOI")), citation_count=F.col("citationCount"), authors=F.transform("authors", lambda a: normalize_author(a["name"])), source=F.lit("semantic_scholar"))
+
+
+def read_pubmed(spark: SparkSession, path: str) -> DataFrame:
+    """Saved article sets (XML)."""
+    article = "ArticleTitle:string,Abstract:struct<AbstractText:array<string>>,AuthorList:struct<Author:array<struct<LastName:string,ForeName:string>>>,Journal:struct<Title:string,JournalIssue:struct<PubDate:struct<Year:string>>>,ELocationID:array<struct<_VALUE:string,_EIdType:string>>"
+    schema = f"MedlineCitation struct<PMID:string,Article:struct<{article}>,KeywordList:struct<Keyword:array<string>>>"
+    r = spark.read.schema(schema).format("xml").option("rowTag", "PubmedArticle").load(path).select("MedlineCitation.PMID", "MedlineCitation.Article.*", F.col("MedlineCitation.KeywordList.Keyword").alias("Keyword"))
+    doi = F.get(F.filter("ELocationID", lambda e: e["_EIdType"] == "doi"), 0)["_VALUE"]
+    people = F.filter(F.transform("AuthorList.Author", lambda a: F.concat_ws(", ", a["LastName"], a["ForeName"])), lambda x: x != "")
+    return paper(r, id=F.concat(F.lit("pmid:"), F.col("PMID")), title=F.col("ArticleTitle"), abstract=F.array_join("Abstract.AbstractText", " "), authors=people, journal=F.col("Journal.Title"), year=F.col("Journal.JournalIssue.PubDate.Year").try_cast("int"), doi=normalize_doi(doi), keywords=F.transform("Keyword", lambda k: F.lower(F.trim(k))), source=F.lit("pubmed"))
+
+
 def write_clean(df: DataFrame, path: str) -> None:
     """CSV with arrays joined by '; '; the tables themselves stay Parquet."""
     df.select(*[F.array_join(c, "; ").alias(c) if t.startswith("array") else F.col(c) for c, t in df.dtypes if not t.startswith("map")]).write.csv(path, header=True, mode="overwrite")

@@ -41,3 +41,13 @@ def test_readers(spark, tmp_path):
     (tmp_path / "inbox" / "1.json").write_text('{"id":"1"}\n')
     incremental.append_papers(spark, str(tmp_path / "inbox"), str(tmp_path / "corpus"), str(tmp_path / "ck")).awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "corpus")).count() == 1
+
+
+def test_payloads_of_services(spark, tmp_path):
+    (tmp_path / "s2.json").write_text(json.dumps({"data": [{"paperId": "p1", "title": "T", "authors": [{"name": "Ada Lovelace"}], "year": 2021, "venue": {"name": "V"}, "abstract": None, "externalIds": {"DOI": "10.1/Z"}, "citationCount": 3}, {"paperId": "p2", "venue": "W"}]}))
+    (tmp_path / "p.xml").write_text("""<PubmedArticleSet><PubmedArticle><MedlineCitation><PMID Version="1">7</PMID><Article><Journal><JournalIssue><PubDate><Year>2019</Year></PubDate></JournalIssue><Title>J</Title></Journal><ArticleTitle>On cells</ArticleTitle>
+<ELocationID EIdType="pii">x</ELocationID><ELocationID EIdType="doi">10.1/Q</ELocationID><Abstract><AbstractText>One.</AbstractText><AbstractText>Two.</AbstractText></Abstract><AuthorList><Author><LastName>Doe</LastName><ForeName>Jane</ForeName></Author></AuthorList></Article><KeywordList><Keyword>Cell</Keyword></KeywordList></MedlineCitation></PubmedArticle></PubmedArticleSet>""")
+    s = {r.id: r for r in readers.read_semantic_scholar(spark, str(tmp_path / "s2.json")).collect()}
+    assert s["p1"].journal == "V" and s["p2"].journal == "W" and s["p1"].doi == "10.1/z" and s["p1"].authors == ["Lovelace, Ada"] and s["p1"].citation_count == 3 and s["p1"].abstract is None
+    (p,) = readers.read_pubmed(spark, str(tmp_path / "p.xml")).collect()
+    assert (p.id, p.title, p.abstract, p.year, p.journal, p.doi, p.authors, p.keywords) == ("pmid:7", "On cells", "One. Two.", 2019, "J", "10.1/q", ["Doe, Jane"], ["cell"])
