@@ -4,7 +4,8 @@ Every text is scanned as it stands (base findings), then its encoded segments ar
 escapes, backslash escapes, HTML character references of numbers, base64 (both alphabets) and hex,
 and inside binary payloads zlib, gzip, bzip2 and xz. Each new layer goes on the worklist, is scanned
 by the same rules and unwrapped in turn until nothing new appears; a layer seen before (by its
-digest) is not entered again, which ends cycles. Each layer carries, for every character, the span
+content and the span it came from) is not entered again, which ends cycles: a blob that stands twice
+in a text gives findings at both places. Each layer carries, for every character, the span
 of the original text that it came from, so a finding of any depth is mapped back to code points of
 the whole text. Compressed layers expand to ``MAX_LAYER`` bytes at most, as a guard against
 decompression bombs; a text itself is never cut.
@@ -167,7 +168,7 @@ def findings(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int
     """Base findings, and those that only decoded layers show; a span found as such already is not repeated."""
     base = scan(text)
     known, added = set(base), set()
-    seen, work = {hashlib.sha256(text.encode()).digest()}, [(text, None, None)]
+    seen, work = {_place(text, None, None)}, [(text, None, None)]
     while work:
         layer, starts, ends = work.pop()
         if starts is not None:
@@ -176,18 +177,26 @@ def findings(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int
                 if span not in known:
                     added.add(span)
         for out, s, e in unwrap(layer):
-            digest = hashlib.sha256(out.encode()).digest()
-            if digest in seen:
-                continue
-            seen.add(digest)
             if starts is not None and len(out):
                 # through the layer above: the least start and largest end of what a character came from
                 s, e = starts[s], ends[e - 1]
+            place = _place(out, s, e)
+            if place in seen:
+                continue
+            seen.add(place)
             work.append((out, s, e))
     # a base finding seen again through an escape elsewhere in the text keeps its place and is not new
     return base, sorted(added)
 
 
+def _place(layer: str, starts: np.ndarray | None, ends: np.ndarray | None) -> bytes:
+    """Tells layers apart by their content and by what they came from: a blob that stands twice is two layers."""
+    h = hashlib.sha256(layer.encode())
+    if starts is not None:
+        h.update(starts.tobytes() + ends.tobytes())
+    return h.digest()
+
+
 def digest(base: list[tuple[int, int, int]]) -> str:
     return hashlib.sha256(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in base).encode()).hexdigest()
 

@@ -189,6 +189,14 @@ def test_secrets(spark):
         assert secret_scan.scan(t) == sorted(want)
 
 
+def test_secrets_of_repeated_blobs():
+    inner = "the password = 'abcdefghij1' is"
+    for blob in (base64.b64encode(inner.encode()).decode(), inner.encode().hex(), base64.b64encode(zlib.compress(inner.encode())).decode(), base64.b64encode(base64.b64encode(inner.encode())).decode()):
+        n = len(blob)
+        added = [x for x in secret_scan.findings(f"{blob} and {blob}, {blob}")[1] if x[1] == 0]
+        assert added == [(0, 0, n), (n + 5, 0, 2 * n + 5), (2 * n + 7, 0, 3 * n + 7)]
+
+
 def test_pii(spark):
     rng = random.Random(5)
     parts = ["a@b.co", "x_y@", "@", "c-d.com", "1.2.3.4", "256.1.1.1", ".", "4111 1111 1111 1111", "+1 (499) 555-6503", "+", "12", " ", "_", "-", "abc"]
