@@ -1,14 +1,18 @@
 """Secret scans over a worklist of decoded layers.
 
 Every text is scanned as it stands (base findings), then its encoded segments are unwrapped: URL
-escapes, backslash escapes, HTML character references of numbers, base64 (both alphabets) and hex,
-and inside binary payloads zlib, gzip, bzip2 and xz. Each new layer goes on the worklist, is scanned
-by the same rules and unwrapped in turn until nothing new appears; a layer seen before (by its
+escapes, backslash escapes, HTML character references of numbers, base64 (both alphabets, wrapped
+lines joined) and hex, and inside binary payloads zlib, gzip, bzip2 and xz. Layers of escapes and of
+wrapped base64 go on a worklist, are scanned by the same rules and unwrapped in turn until nothing
+new appears; each carries, for every character, the span of the original text that it came from, so
+a finding of any depth is mapped back to code points of the whole text. A layer seen before (by its
 content and the span it came from) is not entered again, which ends cycles: a blob that stands twice
-in a text gives findings at both places. Each layer carries, for every character, the span
-of the original text that it came from, so a finding of any depth is mapped back to code points of
-the whole text. Compressed layers expand to ``MAX_LAYER`` bytes at most, as a guard against
-decompression bombs; a text itself is never cut.
+in a text gives findings at both places.
+
+All that one base64 or hex segment holds has that segment's span, so of its layers only the kinds
+found are kept. They are scanned whole, whatever bytes they hold (those that are no UTF-8 are
+replaced); compressed ones expand over all members until the input ends, in windows that overlap by
+``OVERLAP`` characters, by the encoded segment that an edge would cut and by a gap inside an assignment.
 
 Defined cases: null is empty text with no findings; equal rows give equal findings.
 """
@@ -16,8 +20,9 @@ Defined cases: null is empty text with no findings; equal rows give equal findin
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
+import codecs
+import functools
 import hashlib
 import lzma
 import re
@@ -41,7 +46,12 @@ LEAST_VALUE = 8
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 HEX_BYTES = re.compile(r"(?:[0-9a-fA-F]{2}){16,}")
-MAX_LAYER = 64 << 20
+#: A line of wrapped base64 after the first; what follows it on the line ends the segment.
+LINE = re.compile(r"""\r?\n[ \t]*([A-Za-z0-9+/_-]+={0,2})(?=[ \t]*(?:[\r\n"'`<,;)\]}\\]|\Z))""")
+#: Bytes expanded at a time, characters read at a time, and how many of these are read again with the next ones.
+PIECE, WINDOW, OVERLAP = 1 << 20, 4 << 20, 1 << 16
+#: Of these an encoded segment may consist.
+RUNNING = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=%\\{};&#\r\n")
 
 
 def scan(text: str) -> list[tuple[int, int, int]]:
@@ -109,65 +119,199 @@ def _escape(m: re.Match) -> str | None:
     return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else None
 
 
-def _expand(raw: bytes) -> bytes | None:
-    try:
-        if raw[:1] == b"\x78" or raw[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(zlib.MAX_WBITS | 32).decompress(raw, MAX_LAYER)
-        if raw[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(raw, MAX_LAYER)
-        if raw[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor().decompress(raw, MAX_LAYER)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        pass
+def _decoder(head: bytes):
+    """A decompressor for data that starts like this, or None."""
+    if head[:2] == b"\x1f\x8b" or (len(head) > 1 and head[0] & 15 == 8 and head[:1] == b"\x78" and int.from_bytes(head[:2]) % 31 == 0):
+        return zlib.decompressobj(zlib.MAX_WBITS | 32)
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
     return None
 
 
-def _text_of(raw: bytes) -> str | None:
-    """Readable text of the bytes, after any compressed layers."""
-    seen = set()
-    while (d := hashlib.sha256(raw).digest()) not in seen:
-        seen.add(d)
-        if not (more := _expand(raw)):
+def _headed(chunks: Iterator[bytes], start: bytes = b"") -> tuple[bytes, Iterator[bytes]]:
+    """The first bytes, six at least if there are so many, and the chunks that follow."""
+    for more in chunks:
+        start += more
+        if len(start) >= 6:
+            break
+    return start, chunks
+
+
+def _members(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """All members or streams expanded, piece by piece, until the input ends; what is not compressed comes as it stands."""
+    rest, first = b"", True
+    while True:
+        rest, chunks = _headed(chunks, rest)
+        data = rest if first else rest.lstrip(b"\0")  # members may be padded
+        d, first = _decoder(data), False
+        if d is None:
+            if rest:
+                yield rest
+            yield from chunks
+            return
+        try:
+            while not d.eof:
+                out = d.decompress(data, PIECE)
+                if out:
+                    yield out
+                data = getattr(d, "unconsumed_tail", b"")
+                if not d.eof and _hungry(d, data, out):
+                    if (data := next(chunks, None)) is None:
+                        return
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+            yield data
+            yield from chunks
+            return
+        rest = d.unused_data
+
+
+def _plain(raw: bytes) -> Iterator[bytes]:
+    """The bytes under all compressed layers; a layer that comes again, as in a file that expands to itself, ends the way."""
+    seen, make = set(), lambda: iter((raw,))
+    while _decoder(_headed(make())[0]) is not None:
+        h = hashlib.sha256()
+        for x in make():
+            h.update(x)
+        if h.digest() in seen:
             break
-        raw = more
+        seen.add(h.digest())
+        make = functools.partial(lambda make: _members(make()), make)
+    return make()
+
+
+def _hungry(d, data: bytes, out: bytes) -> bool:
+    return d.needs_input if hasattr(d, "needs_input") else not data and len(out) < PIECE
+
+
+def _complete(raw: bytes) -> bool:
+    """Whether raw holds a whole compressed stream."""
+    d, data = _decoder(raw), raw
     try:
-        out = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    odd = sum(not (c.isprintable() or c in "\t\n\r") for c in out[:4096])
-    return out if out and odd * 20 <= len(out[:4096]) else None
+        while d and not d.eof:
+            out = d.decompress(data, PIECE)
+            data = getattr(d, "unconsumed_tail", b"")
+            if not d.eof and _hungry(d, data, out):
+                return False
+    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+        return False
+    return d is not None
+
+
+def _lines(text: str, m: re.Match) -> list[tuple[int, int]]:
+    """The lines of a wrapped segment that starts with the match m: as wide as the second one, but for the first and the last."""
+    lines, width = [m.span()], m.end() - m.start()
+    while text[lines[-1][1] - 1] != "=" and (n := LINE.match(text, lines[-1][1])):
+        size = n.end() - n.start(1)
+        if size > width and len(lines) > 1:
+            break
+        lines.append(n.span(1))
+        if size < width:
+            break
+        width = size
+    return lines
 
 
-def _packed(text: str) -> Iterator[tuple[int, int, str]]:
-    """(start, end, decoded) of the base64 and hex segments that hold readable or compressed text."""
+def _segments(text: str) -> Iterator[tuple[int, int, bytes, list[tuple[int, int]]]]:
+    """(start, end, bytes, lines) of the base64 and hex segments. Wrapped base64 comes joined, with the spans of its lines, and line by line, unless it is one compressed stream."""
+    done = skip = 0
     for m in BASE64.finditer(text):
-        body = m[0].rstrip("=")
-        body = body[: len(body) - (len(body) % 4 == 1)]
-        try:
-            raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
-        except (binascii.Error, ValueError):
-            continue
-        if (out := _text_of(raw)) is not None:
-            yield m.start(), m.end(), out
+        if m.start() >= done and len(lines := _lines(text, m)) > 1:
+            done = lines[-1][1]
+            raw = _unbased("".join(text[s:e] for s, e in lines))
+            if _decoder(raw) is None:
+                yield m.start(), done, raw, lines
+            elif not _complete(_unbased(m[0])):
+                yield m.start(), done, raw, []
+                skip = done
+        if m.start() >= skip:
+            yield m.start(), m.end(), _unbased(m[0]), []
     for m in HEX_BYTES.finditer(text):
-        if (out := _text_of(bytes.fromhex(m[0]))) is not None:
-            yield m.start(), m.end(), out
+        yield m.start(), m.end(), bytes.fromhex(m[0]), []
+
+
+def _by_line(raw: bytes, lines: list[tuple[int, int]]) -> tuple[str, np.ndarray, np.ndarray]:
+    """The text of joined base64, each character with the span of the lines it came from."""
+    try:
+        out = raw.decode()
+        sizes = np.array([1 if c < "\x80" else len(c.encode()) for c in out], dtype=np.int64)
+    except UnicodeDecodeError:
+        out, sizes = raw.decode("latin-1"), np.ones(len(raw), dtype=np.int64)
+    last = np.cumsum(sizes)
+    spans = np.array(lines, dtype=np.int64)
+    edges = np.cumsum(spans[:, 1] - spans[:, 0])
+    line = lambda at: np.minimum(np.searchsorted(edges, at, side="right"), len(lines) - 1)
+    return out, spans[line((last - sizes) * 8 // 6), 0], spans[line(-(-last * 8 // 6) - 1), 1]
+
+
+def _unbased(body: str) -> bytes:
+    body = body.rstrip("=")
+    body = body[: len(body) - (len(body) % 4 == 1)]
+    return base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
+
+
+def _unfinished(text: str) -> int:
+    """Where the next window has to start: before its overlap, and before a gap or an encoded segment that may go on."""
+    at = max(0, len(text) - OVERLAP)
+    if text[at : at + 1] == " ":
+        at = max(0, len(text[:at].rstrip(" ")) - LEAST_VALUE * 2)
+    while at:
+        if text[at - 1] in RUNNING:
+            at -= 1
+            continue
+        gap = at
+        while gap and text[gap - 1] in " \t":
+            gap -= 1
+        if gap == at or not gap or text[gap - 1] != "\n":
+            break
+        at = gap
+    return at
 
 
 def unwrap(text: str) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
-    """The layers one step below text: their characters' start and end in text."""
+    """text with its escapes decoded: the characters' start and end in text."""
     if (layer := _url(text)) is not None:
         yield layer
     if ("\\" in text or "&#" in text) and (layer := _substitute(text, ESCAPE, _escape)) is not None:
         yield layer
-    for start, end, out in _packed(text):
-        yield out, *_spread(out, start, end)
+
+
+def kinds_in(raw: bytes, seen: set | None = None) -> set[int]:
+    """The kinds of secrets anywhere below one segment, whose span they all share."""
+    found: set[int] = set()
+    seen = set() if seen is None else seen
+    if (d := hashlib.sha256(raw).digest()) in seen:
+        return found
+    seen.add(d)
+    decoder, text, done = codecs.getincrementaldecoder("utf-8")("replace"), "", False
+    chunks, window = _plain(raw), WINDOW
+    while not done and len(found) < len(KINDS):
+        chunk = next(chunks, None)
+        done = chunk is None
+        text += decoder.decode(chunk or b"", done)
+        if len(text) < window and not done:
+            continue
+        work, known = [text], {text}
+        while work:
+            layer = work.pop()
+            found.update(k for _, k, _ in scan(layer))
+            for _, _, inner, _ in _segments(layer):
+                found |= kinds_in(inner, seen)
+            for out, _, _ in unwrap(layer):
+                if out not in known:
+                    known.add(out)
+                    work.append(out)
+        text = text[_unfinished(text) :]
+        window = max(WINDOW, 2 * len(text))
+    return found
 
 
 def findings(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base findings, and those that only decoded layers show; a span found as such already is not repeated."""
     base = scan(text)
     known, added = set(base), set()
+    inside: dict[bytes, set[int]] = {}
     seen, work = {_place(text, None, None)}, [(text, None, None)]
     while work:
         layer, starts, ends = work.pop()
@@ -176,7 +320,18 @@ def findings(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int
                 span = (int(starts[s:e].min()), k, int(ends[s:e].max()))
                 if span not in known:
                     added.add(span)
-        for out, s, e in unwrap(layer):
+        below = list(unwrap(layer))
+        for s, e, raw, lines in _segments(layer):
+            if lines:
+                below.append(_by_line(raw, lines))
+                continue
+            if raw not in inside:
+                inside[raw] = kinds_in(raw)
+            for k in inside[raw]:
+                span = (s, k, e) if starts is None else (int(starts[s]), k, int(ends[e - 1]))
+                if span not in known:
+                    added.add(span)
+        for out, s, e in below:
             if starts is not None and len(out):
                 # through the layer above: the least start and largest end of what a character came from
                 s, e = starts[s], ends[e - 1]

@@ -1,9 +1,14 @@
 """Small cases and brute force for each operator: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import base64
+import bz2
+import gzip
 import hashlib
+import io
+import lzma
 import random
 import re
+import tarfile
 import zlib
 
 import numpy as np
@@ -197,6 +202,57 @@ def test_secrets_of_repeated_blobs():
         assert added == [(0, 0, n), (n + 5, 0, 2 * n + 5), (2 * n + 7, 0, 3 * n + 7)]
 
 
+def test_secrets_of_whole_layers(monkeypatch):
+    rng = random.Random(2)
+    secret = "the password = 'abcdefghij1' is"
+    found = lambda raw: secret_scan.kinds_in(raw)
+    # a tar file, whose header is full of NULs, and text that is no UTF-8
+    tar = io.BytesIO()
+    with tarfile.open(fileobj=tar, mode="w:gz") as f:
+        data = (prose(rng, 3000) + secret).encode()
+        info = tarfile.TarInfo("notes.txt")
+        info.size = len(data)
+        f.addfile(info, io.BytesIO(data))
+    assert found(tar.getvalue()) == found(b"\xff\xfe\x00 " + secret.encode()) == {0}
+    for c in (zlib.compress, gzip.compress, bz2.compress, lzma.compress):
+        assert found(c(b"first ") + c(secret.encode())) == {0}, c
+        assert found(c(c(b"x") + c(secret.encode())[:-9]) + b"\0" * 4) <= {0}
+    # beyond any piece, with windows that cut secrets, characters, gaps and encoded segments
+    monkeypatch.setattr(secret_scan, "PIECE", 61)
+    monkeypatch.setattr(secret_scan, "WINDOW", 200)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 40)
+    inner = base64.b64encode(("é" * 300 + secret).encode()).decode()
+    for n in range(0, 400, 7):
+        for text in (secret, "password" + " " * 900 + "= 'abcdefghij1'", inner, base64.encodebytes(inner.encode()).decode()):
+            assert found(zlib.compress(("é " * n + text + " é" * 500).encode())) == {0}, (n, text)
+
+
+def test_secrets_of_wrapped_base64():
+    rng = random.Random(4)
+    secret = "the password = 'abcdefghij1' is"
+    long = (prose(rng, 100) + secret + prose(rng, 100)).encode()
+    for width in (64, 76):
+        for end in ("\n", "\r\n", "\n  "):
+            for raw in (zlib.compress(long), zlib.compress(zlib.compress(long))):
+                b = base64.b64encode(raw).decode()
+                text = end.join(b[i : i + width] for i in range(0, len(b), width))
+                assert secret_scan.findings(f"see\n{text}\nend")[1] == [(4, 0, 4 + len(text))]
+            for shift in range(60):
+                b = base64.b64encode(b"-" * shift + secret.encode() + b" -" * 60).decode()
+                lines = [b[i : i + width] for i in range(0, len(b), width)]
+                found = secret_scan.findings("see " + end.join(lines))[1]
+                first, last = (shift + 4) * 4 // 3 // width, (-(-(shift + 27) * 4 // 3) - 1) // width
+                step = width + len(end)
+                want = (4 + first * step, 0, 4 + last * step + len(lines[last]))
+                # a line that could stand alone is found as well
+                assert want in found and all(want[0] <= s and e <= want[2] for s, _, e in found)
+    # lines that are no wrapped segment: each keeps its own span
+    for one in (b"password=abcdefgh1", zlib.compress(b"password=abcdefgh12")):
+        b = base64.b64encode(one).decode().rstrip("=")
+        n = len(b)
+        assert {(i * (n + 1), 0, i * (n + 1) + n) for i in range(3)} <= set(secret_scan.findings("\n".join([b] * 3))[1])
+
+
 def test_pii(spark):
     rng = random.Random(5)
     parts = ["a@b.co", "x_y@", "@", "c-d.com", "1.2.3.4", "256.1.1.1", ".", "4111 1111 1111 1111", "+1 (499) 555-6503", "+", "12", " ", "_", "-", "abc"]
