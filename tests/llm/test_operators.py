@@ -349,6 +349,14 @@ def test_html(spark):
     assert html_extract.extract_text(p.limit(0), html_extract.fit_wrappers(p.limit(0))).count() == 0
 
 
+def test_html_siblings_of_one_kind():
+    bodies = ["<main><div>short intro</div><div>%s</div></main>", "<body><article>teaser</article><article>%s</article></body>", "<body><div>x</div><div><div>%s</div></div></body>"]
+    for body in bodies:
+        pages = [body % f"long body {i} {'of many words ' * 9}" for i in range(4)]
+        for wrapper in (None, html_extract.infer(pages)):
+            assert all(f"long body {i} of many" in html_extract.extract(p, wrapper) for i, p in enumerate(pages))
+
+
 def test_pipeline_small(spark, tmp_path):
     import corpus_pipeline
 
