@@ -353,10 +353,24 @@ def test_html_siblings_of_one_kind():
     bodies = ["<main><div>short intro</div><div>%s</div></main>", "<body><article>teaser</article><article>%s</article></body>", "<body><div>x</div><div><div>%s</div></div></body>"]
     for body in bodies:
         pages = [body % f"long body {i} {'of many words ' * 9}" for i in range(4)]
-        for wrapper in (None, html_extract.infer(pages)):
+        for wrapper in (None, frozenset(html_extract.infer(pages))):
             assert all(f"long body {i} of many" in html_extract.extract(p, wrapper) for i, p in enumerate(pages))
 
 
+def test_html_keeps_what_is_no_boilerplate():
+    lead = "<main><h1>Title</h1><p>lead</p><div class=body>%s</div></main>"
+    split = "<div class=w><article>one</article><article>two %s</article><article>three</article><p>after</p></div><nav>no</nav>"
+    for i in range(12):
+        body = f"body {i} " + "of many words " * 20
+        assert html_extract.extract(lead % body, None) == f"Title lead {body.strip()}"
+        assert html_extract.extract(split % body, None) == f"one two {body.strip()} three after"
+    # a template's constants go, at their own path only
+    pages = [f"<main><p>Notice</p><div>text {i}<b>s</b><ul><li>Notice {i}</ul></div></main>" for i in range(9)]
+    drop = frozenset(html_extract.infer(pages))
+    assert html_extract.extract(pages[3], drop) == "text 3s Notice 3"
+    assert html_extract.extract("<main><div>Notice</div></main>", drop) == "Notice"
+
+
 def test_pipeline_small(spark, tmp_path):
     import corpus_pipeline
 
