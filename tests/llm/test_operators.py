@@ -353,7 +353,7 @@ def test_html_siblings_of_one_kind():
     bodies = ["<main><div>short intro</div><div>%s</div></main>", "<body><article>teaser</article><article>%s</article></body>", "<body><div>x</div><div><div>%s</div></div></body>"]
     for body in bodies:
         pages = [body % f"long body {i} {'of many words ' * 9}" for i in range(4)]
-        for wrapper in (None, frozenset(html_extract.infer(pages))):
+        for wrapper in (None, frozenset(html_extract.infer(pages)[0])):
             assert all(f"long body {i} of many" in html_extract.extract(p, wrapper) for i, p in enumerate(pages))
 
 
@@ -366,11 +366,27 @@ def test_html_keeps_what_is_no_boilerplate():
         assert html_extract.extract(split % body, None) == f"one two {body.strip()} three after"
     # a template's constants go, at their own path only
     pages = [f"<main><p>Notice</p><div>text {i}<b>s</b><ul><li>Notice {i}</ul></div></main>" for i in range(9)]
-    drop = frozenset(html_extract.infer(pages))
+    drop = frozenset(html_extract.infer(pages)[0])
     assert html_extract.extract(pages[3], drop) == "text 3s Notice 3"
     assert html_extract.extract("<main><div>Notice</div></main>", drop) == "Notice"
 
 
+def test_html_templates_by_all_pages(spark):
+    own = lambda i: f"own text {i} {'w' * (i % 7)}"
+    rows = [f"<main><div class=n>Notice</div><p>{own(i)}</p><div class=t>{'Usual' if i % 3 else own(i)}</div></main>" for i in range(300)]
+    rows += [f"<div class=second><div class=x>Advert</div><p>{own(i)}</p><p>Same</p></div>" for i in range(300, 310)]  # another template, a small share
+    rows += [f"<div class=third><div class=y>Few</div><p>{own(i)}</p></div>" for i in range(7)] + ["<main><p>copy</p></main>"] * 40
+    p = spark.createDataFrame([(i, "http://h.example/x", h) for i, h in enumerate(rows)], "page_id long, url string, html string")
+    for sample in (html_extract.SAMPLE, 3, 0):
+        got = {r.page_id: r.text for r in html_extract.extract_text(p, html_extract.fit_wrappers(p, sample=sample)).collect()}
+        assert len(got) == len(rows)
+        for i in range(300):
+            assert got[i] == " ".join(f"{own(i)} {'Usual' if i % 3 else own(i)}".split())
+        for i in range(300, 310):
+            assert got[i].startswith(own(i).strip()) and "Advert" not in got[i]
+        assert all(got[310 + i].startswith("Few own") for i in range(7)) and got[330] == "copy"
+
+
 def test_pipeline_small(spark, tmp_path):
     import corpus_pipeline
 
