@@ -6,8 +6,9 @@ the known n-grams of that one length. A text gets the language of the largest su
 
 The model is fitted on a bounded sample of labelled rows: about ``sample_docs`` texts a language,
 drawn by a hash of doc_id and text (a filter, no sort and no group in one task), counted in the
-executors and summed by a shuffle. Its size is bounded by ``max_words`` and ``max_grams``: the
-least count that keeps a table within its bound is found from the histogram of counts. So the
+executors and summed by a shuffle. Its size is bounded by ``max_words`` and ``max_grams``, of which
+each language has an equal share for its own most frequent pieces (the last ones, of one count, by a
+hash), found from the histogram of its counts: a language of few rows keeps all its pieces. So the
 broadcast model does not grow with the corpus. Every text is scored whole.
 
 Defined cases: null text, or text without a letter, is ``und`` with score 0; without any labelled
@@ -31,8 +32,8 @@ from .common import small_batches, table, tidied
 
 MAX_GRAM = 5
 SAMPLE_DOCS = 2_000
-MAX_WORDS = 100_000
-MAX_GRAMS = 100_000
+MAX_WORDS = 200_000
+MAX_GRAMS = 200_000
 #: Unseen words remembered by a worker before it forgets them all.
 MEMO = 200_000
 ALPHA = 0.05
@@ -144,6 +145,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_pydict({"lang": [lang] * len(counts), "is_word": [is_word] * len(counts), "piece": list(counts), "n": list(counts.values())}, schema=pa.schema([("lang", pa.string()), ("is_word", pa.bool_()), ("piece", pa.string()), ("n", pa.int64())]))
 
 
+def least_level(sizes: dict[int, int], most: int) -> tuple[int, float]:
+    """(count, part): all pieces of a higher count and that part of those with this one fill a share of most pieces; (0, 0) if all fit."""
+    for n in sorted(sizes, reverse=True):
+        if sizes[n] > most:
+            return n, most / sizes[n]
+        most -= sizes[n]
+    return 0, 0.0
+
+
 def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
     """A model from the rows of labelled that have a text and a label."""
     d = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
@@ -155,16 +165,16 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     sample = d.filter(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < share * F.lit(1 << 30)).select("lang", "text")
     counts = small_batches(sample).mapInArrow(_count, "lang string, is_word boolean, piece string, n long").groupBy("is_word", "piece").agg(F.sum("n").alias("total"), *[F.coalesce(F.sum(F.when(F.col("lang") == k, F.col("n"))), F.lit(0)).alias(f"n{i}") for i, k in enumerate(langs)])
     counts = materialize(counts, "langid")
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"n{i}").alias("n")) for i in range(len(langs))]))
+    sizes = counts.select("is_word", each.alias("x")).filter("x.n > 0").groupBy("is_word", "x.i", "x.n").count().collect()
+    chance = F.pmod(F.xxhash64("piece"), F.lit(1 << 30))
     found = []
     for is_word, most in ((True, max_words), (False, max_grams)):
-        own = counts.filter(F.col("is_word") == is_word)
-        left, least = 0, 2
-        for r in own.groupBy("total").count().orderBy(F.desc("total")).limit(10_000).collect():
-            left += r["count"]
-            if left > most:
-                least = max(least, r["total"] + 1)
-                break
-        rows = own.filter(F.col("total") >= least).select("piece", *[f"n{i}" for i in range(len(langs))]).toArrow()
+        keep = F.lit(False)
+        for i in range(len(langs)):
+            level, part = least_level({r.n: r["count"] for r in sizes if r.is_word == is_word and r.i == i}, max(1, most // len(langs)))
+            keep |= (F.col(f"n{i}") > level) | ((F.col(f"n{i}") == level) & (chance < int(part * (1 << 30))))
+        rows = counts.filter(F.col("is_word") == is_word).filter(keep).select("piece", *[f"n{i}" for i in range(len(langs))]).toArrow()
         found.append((rows.column(0).to_pylist(), np.stack([c.to_numpy() for c in rows.columns[1:]], axis=1).astype(np.float64)))
     discard(counts)
     return Model(langs, *found)

@@ -169,6 +169,22 @@ def test_language(spark):
     assert {r.lang_pred for r in language_id.identify(d, none).collect()} == {"und"}
 
 
+def test_language_of_few_rows(spark):
+    """Frequent languages do not crowd a rare one out of full tables; all its pieces stand once only."""
+    assert language_id.least_level({5: 2, 2: 3, 1: 10}, 10) == (1, 0.5) and language_id.least_level({5: 2, 2: 3}, 5) == (0, 0.0)
+    assert (language_id.MAX_WORDS, language_id.MAX_GRAMS) == (200_000, 200_000)
+    rng = random.Random(6)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(7))
+    often = {k: [word(c) for _ in range(120)] for k, c in (("aa", "abcdefgh"), ("bb", "ijklmnop"))}
+    rare = [word("qrstuvwxyz") for _ in range(40)]
+    rows = [(i, " ".join(rng.choice(often[k]) for _ in range(60)), k) for i, k in enumerate(["aa", "bb"] * 60)] + [(500, " ".join(rare), "rr")]
+    d = spark.createDataFrame([(i, t, k, "s", 0, "", "", "") for i, t, k in rows], SCHEMA)
+    model = language_id.fit(d, max_words=150, max_grams=1800)
+    assert set(rare) <= set(model.words) and len(model.words) <= 150 and sum(len(r) for r, _ in model.levels.values()) <= 1860
+    score = model.scorer()
+    assert all(score(" ".join(rng.sample(rare, 5)))[0] == "rr" for _ in range(20)) and all(score(t)[0] == k for _, t, k in rows)
+
+
 def test_secrets(spark):
     inner = "the password = 'abcdefghij1' is"
     cases = {
