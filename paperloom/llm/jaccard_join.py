@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..operators.store import discard, materialize
-from .common import LOWER_BYTES, small_batches, table, tidied
+from .common import LOWER_BYTES, row_key, small_batches, table, tidied
 
 WORDS = 5
 #: Jaccard >= 3/4: at most (|X|+|Y|)/7 elements differ, and sizes differ by 4/3 at most.
@@ -204,16 +204,18 @@ def _batch(cols: dict, schema: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(cols[n], t) for n, t in schema], names=[n for n, _ in schema])
 
 
-def describe(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, id, n, bitmap): the first pass over the texts."""
+def describe(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keyed: bool = False) -> DataFrame:
+    """(doc_id, id, n, bitmap) and, if keyed, row_key: the first pass over the texts."""
 
     @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([set_id(h) for h in sets], pa.int64()), pa.array([len(h) for h in sets], pa.int64()), pa.array([bitmap(h) for h in sets], pa.binary())], names=["doc_id", "id", "n", "bitmap"])
+            found = [b.column(0), pa.array([set_id(h) for h in sets], pa.int64()), pa.array([len(h) for h in sets], pa.int64()), pa.array([bitmap(h) for h in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*found, *b.columns[2:]], names=["doc_id", "id", "n", "bitmap", *["row_key"] * keyed])
 
-    return small_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).mapInArrow(run, f"doc_id {dict(docs.dtypes)[id_col]}, id long, n long, bitmap binary")
+    cols = [F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[row_key(F.col(text_col)).alias("row_key")] * keyed]
+    return small_batches(docs.select(*cols)).mapInArrow(run, f"doc_id {dict(docs.dtypes)[id_col]}, id long, n long, bitmap binary" + ", row_key long" * keyed)
 
 
 _PACKED = [("p", pa.int32()), ("ids", pa.binary()), ("bands", pa.binary()), ("spare", pa.binary()), ("counts", pa.binary()), ("keys", pa.binary())]
@@ -451,9 +453,9 @@ def _all_left(docs: DataFrame, sets: DataFrame, m: DataFrame, ranges: int, *, id
     return pairs
 
 
-def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, n_shingles, component_id): one row for each row of docs."""
-    m = materialize(describe(docs, id_col=id_col, text_col=text_col), "described")
+def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keyed: bool = False) -> DataFrame:
+    """(id_col, n_shingles, component_id): one row for each row of docs. If keyed, also row_key, set_id and root, which tells components apart where ids do not (null, or of several texts)."""
+    m = materialize(describe(docs, id_col=id_col, text_col=text_col, keyed=keyed), "described")
     total = m.agg(F.sum("n").alias("n")).first().n or 0
     ranges = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total * 0.7) // TASK_KEYS))
     sets = m.filter("n > 0").groupBy("id").agg(F.min("doc_id").alias("label"), F.max("n").alias("n"), F.max("bitmap").alias("bitmap"))
@@ -478,24 +480,31 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
             roots = connected_components(links)
     labels = roots.join(sets.select(F.col("id").alias("node"), "label"), "node")
     named = labels.groupBy("root").agg(F.min("label").alias("component"))
-    named = materialize(labels.join(named, "root").select(F.col("node").alias("id"), "component"), "named")
+    named = materialize(labels.join(named, "root").select(F.col("node").alias("id"), "component", *["root"] * keyed), "named")
     own = m.filter("n > 0").groupBy("id").agg(F.min("doc_id").alias("label")).join(named, "id", "left")
-    own = materialize(own.select("id", F.coalesce("component", "label").alias("component")), "own")
+    own = materialize(own.select("id", F.coalesce("component", "label").alias("component"), *[F.coalesce("root", "id").alias("root")] * keyed), "own")
     # two scans meet here, so that a hot id (very many exact copies) is split at run time
-    out = m.join(own, "id", "left").select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+    out = m.join(own, "id", "left").select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"), *["row_key", F.col("id").alias("set_id"), "root"] * keyed)
     return out
 
 
 def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component, the one that names it; documents without shingles all stay. Repeated rows of one id are one document."""
-    found = materialize(join(docs, id_col=id_col, text_col=text_col), "joined")
-    keep = materialize(found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias("_id")).agg(F.count("*").alias("_rows")), "keep")
-    if keep.filter("_rows > 1").limit(1).count():
-        docs = docs.dropDuplicates([id_col])
-    kept = keep.select("_id")
-    if kept.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        kept = F.broadcast(kept)
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_id"]), "left_semi")
+    """One row of each component, of the least id (null last); rows without shingles all stay. Rows are told apart by id and text, so null and repeated ids lose nothing."""
+    found = materialize(join(docs, id_col=id_col, text_col=text_col, keyed=True).withColumnRenamed(id_col, "_id"), "joined")
+    rows = found.filter("n_shingles > 0").groupBy("root", "_id", "set_id", "row_key").agg(F.count("*").alias("rows"))
+    first = F.min(F.struct(F.col("_id").isNull(), "_id", "set_id", "row_key", "rows")).alias("first")
+    one = rows.groupBy("root").agg(first).select(F.col("first._id").alias("_id"), F.col("first.row_key").alias("_key"), (F.col("first.rows") > 1).alias("_again"))
+    every = found.filter("n_shingles = 0").select("_id", F.col("row_key").alias("_key"), F.lit(False).alias("_again")).distinct()
+    keep = materialize(one.unionByName(every), "keep")
+    again = bool(keep.filter("_again").limit(1).count())
+    if keep.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        keep = F.broadcast(keep)
+    kept = docs.withColumn("_row_key", row_key(F.col(text_col))).join(keep, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_row_key") == F.col("_key")))
+    if not again:
+        return kept.select(docs.columns)
+    # rows equal in id and text are copies of each other
+    copies = kept.filter("_again").dropDuplicates(["_id", "_key"])
+    return kept.filter("not _again").unionByName(copies).select(docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -116,6 +116,17 @@ def test_jaccard_join_matches_brute_force(spark, corpus):
     assert jaccard_join.join(d.limit(0)).count() == 0
 
 
+def test_deduplicate_null_and_repeated_ids(spark):
+    rng = random.Random(8)
+    t = [prose(rng, 60, 4000) for _ in range(8)]
+    near = t[0] + " more"
+    rows = [(None, t[1]), (None, t[2]), (None, t[2]), (None, None), (None, ""), (None, ""), (1, t[0]), (2, near), (2, t[3]), (3, t[4]), (3, t[5]), (4, t[6]), (4, t[6]), (None, near), (None, t[7]), (None, t[7] + " end"), (5, t[2] + " x")]
+    got = sorted(((r.doc_id or 0, r.text or "") for r in jaccard_join.deduplicate(docs_of(spark, rows)).collect()))
+    null = [x for i, x in got if not i]
+    assert null[:3] == ["", "", ""] and t[1] in null and len(null) == 5 and sum(x.startswith(t[7]) for x in null) == 1
+    assert got[5:] == sorted([(1, t[0]), (2, t[3]), (3, t[4]), (3, t[5]), (4, t[6]), (5, t[2] + " x")])
+
+
 def test_jaccard_join_with_crowded_keys(spark, corpus, monkeypatch):
     """Small limits drive the crowded sets through stars, passing over, deletions and rarest elements."""
     want = {r.doc_id: r.component_id for r in jaccard_join.join(docs_of(spark, corpus)).collect()}
