@@ -8,18 +8,22 @@ written table once.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder; a local one only where the session names none, as in tests."""
+    """The shared folder; a temporary one only where the session names none and runs on this machine alone, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="paperloom-")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir()
@@ -33,14 +37,34 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._paperloom_path = path
+    for paths in getattr(spark.sparkContext, "_paperloom_scopes", []):
+        paths.append(path)
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Deletes, at its end, the tables written inside; a path taken from the list stays. Results must be written or counted inside."""
+    sc = spark.sparkContext
+    scopes = sc._paperloom_scopes = getattr(sc, "_paperloom_scopes", [])
+    paths: list[str] = []
+    scopes.append(paths)
+    try:
+        yield paths
+    finally:
+        scopes[:] = [x for x in scopes if x is not paths]
+        for path in paths:
+            _delete(spark, path)
+
+
 def discard(df: DataFrame) -> None:
     """Deletes a table written by materialize(), once nothing reads it any more."""
     path = getattr(df, "_paperloom_path", None)
     if path:
-        spark = df.sparkSession
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        _delete(df.sparkSession, path)
         df._paperloom_path = None
