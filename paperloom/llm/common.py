@@ -5,12 +5,14 @@ from __future__ import annotations
 import ctypes
 import gc
 import inspect
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ship import ship
+from ..operators.store import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A-Z to a-z and nothing else, on UTF-8 bytes.
@@ -46,6 +48,30 @@ def row_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("\u0000null")))
 
 
+#: Rows known to repeat whose keys are broadcast (about 30 MB), and copies numbered by one row.
+BROADCAST_KEYS, RUN = 500_000, 65_536
+
+
+def numbered(df: DataFrame, by: list[str], name: str = "_copy") -> DataFrame:
+    """df with a number that tells rows equal in `by` apart: 0 for a row without copies, else 0, 1, ...
+
+    Rows equal in `by` must be equal altogether; they stand for each other, so the result is the same whatever files and
+    partitions the rows come from. Only keys and counts are shuffled, and copies are made from one row of each kind, in runs.
+    """
+    counts = df.groupBy(*by).agg(F.count("*").alias("_n")).filter("_n > 1")
+    counts = materialize(counts.select(*[F.col(c).alias(f"_{c}") for c in by], "_n"), "copies")
+    if not counts.limit(1).count():
+        return df.withColumn(name, F.lit(0).cast("long"))
+    many = F.broadcast(counts) if counts.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else counts
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
+    single = df.join(many, same, "left_anti").withColumn(name, F.lit(0).cast("long"))
+    one = df.join(many, same).dropDuplicates(by).select(*df.columns, "_n")
+    runs = one.withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(RUN).cast("long"))))
+    runs = runs.repartition(F.xxhash64(*by, name))
+    last = F.least(F.col(name) + RUN, F.col("_n")) - 1
+    return single.unionByName(runs.withColumn(name, F.explode(F.sequence(F.col(name), last))).drop("_n"))
+
+
 def _release() -> None:
     """Gives memory that a finished task no longer needs back to the system: workers are kept and used again."""
     gc.collect()
