@@ -1,37 +1,51 @@
 """Personal data by weak supervision.
 
-Base spans (email, ip, card, phone) are found by fixed rules and always stay. Looser patterns
-propose more candidates: phone numbers without a plus, spelled-out addresses, national ids, IBANs
-and titled names. Six labelers vote on every candidate: its strict format, its checksum or value
-range, a gazetteer (known domains' ends, titles, given names), words of its kind near it, clean
-edges, and a plausible length. Each says yes, no or abstains.
-
-Expectation-maximisation (Dawid and Skene, two classes) estimates each labeler's reliability and
-each kind's share from the votes alone. It runs on the histogram of (kind, votes) over the whole
-corpus, at most kinds * 3^6 rows, so it uses every candidate and still fits the driver. Its
-posteriors then train a logistic regression over kind and votes, the final span classifier, which
-decides on the added candidates; a candidate that overlaps a base span is dropped.
-
-Defined cases: null is empty text; without candidates nothing is added; equal rows get equal spans.
+Base spans (email, ip, card, phone) are found by fixed rules and always stay. Generators propose more
+candidates: spelled-out addresses of mail, phone numbers without a plus, numbers and quads in the shape of
+cards and ips that fail the base rules, national ids, IBANs, IPv6 and hardware addresses, handles, dates,
+postal addresses, and names: titled ones, those behind a cue (dear, signed, ...) and, by a gazetteer learned
+from the corpus (words that stand behind titles and cues, ``max_names`` of them), bare ones.
+
+Labelers vote yes or no on every candidate, or abstain where a rule has no say on its kind: its checksum or value range, a gazetteer, words of its
+kind near it, words of another meaning near it (version, order, isbn, ...), clean edges, a plausible length,
+consistent grouping, and an improbable value (one digit throughout, counting up, a word that the text also
+writes small). No labeler sees whether a span is a base one.
+
+Expectation-maximisation (Dawid and Skene, two classes) estimates each labeler's reliability and each kind's
+share from the votes. It runs on the histogram of (kind, base, votes) over the whole corpus, which is bounded
+(kinds * 2 * 3^8), so it uses every candidate and still fits the driver; base spans are known to be personal
+data and anchor the labelers. Its posteriors are the soft labels of the final span classifier, a logistic
+regression over kind, votes, the span's shape and the words around it (hashed), trained on a sample of
+``TRAIN_SPANS`` candidates at most, by a hash; nothing else is sampled. The classifier decides on every added
+candidate; one that overlaps a base span is dropped, of others that overlap the leftmost, longest stays.
+
+Defined cases: null is empty text; without candidates nothing is added and the model is empty; equal rows get
+equal spans; of candidates at one place the longest, then the first kind counts; very long texts are read
+whole; an empty table gives no rows; other columns are kept by mask_pii, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.store import discard, materialize
 from .common import small_batches, table, tidied
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "national_id", "iban", "name")
+KINDS = (*BASE_KINDS, "national_id", "iban", "ipv6", "hardware", "handle", "date", "address", "name")
 ACCEPT = 0.9
+#: Candidates that train the classifier at most, and learned names.
+TRAIN_SPANS, MAX_NAMES = 20_000, 50_000
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -41,13 +55,34 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 HAS_DIGIT = re.compile(r"[0-9]")
 
-LOOSE = (
-    ("phone", re.compile(r"(?<![\w+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![\w-])")),
-    ("national_id", re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])")),
+#: Generators over texts that hold a digit.
+LOOSE = tuple(
+    (KINDS.index(kind), re.compile(pattern))
+    for kind, pattern in (
+        ("phone", r"(?<![\w+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![\w-])"),
+        ("phone", r"(?<![\w+.-])0[0-9]{1,4}[\x20/-][0-9]{2,4}(?:[\x20-]?[0-9]{2,4}){1,3}(?![\w-])"),
+        ("card", r"(?<![\w.+-])[0-9](?:[\x20.-]?[0-9]){12,18}(?![\w-])"),
+        ("ip", r"(?<![\w.])[0-9]{1,4}(?:\.[0-9]{1,4}){3}(?![\w.]*[0-9])"),
+        ("national_id", r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"),
+        ("national_id", r"(?<![\w-])[0-9]{8}[\x20-]?[A-Z](?![\w-])"),
+        ("iban", r"(?<!\w)[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?!\w)"),
+        ("date", r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4})(?![\w/-])"),
+        ("address", r"(?<!\w)[0-9]{1,5}\x20(?:[A-Z][\w'-]+\x20){1,3}(?:Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Boulevard|Blvd|Court|Square|Way|Place)(?!\w)"),
+        ("address", r"(?<!\w)[0-9]{1,4},?\x20(?:rue|avenue|boulevard|place|chemin)\x20(?:(?:de|du|des|la|le)\x20)*[A-Z]\w+"),
+        ("address", r"(?<!\w)[A-ZÄÖÜ][a-zäöüß]+(?:straße|strasse|weg|platz|allee|gasse)\x20[0-9]{1,4}[a-z]?(?!\w)"),
+        ("address", r"(?<!\w)(?:Calle|Avenida|Plaza)\x20(?:(?:de|del|la|los|las)\x20)*[A-Z]\w+,?\x20[0-9]{1,4}(?!\w)"),
+    )
 )
-IBAN = re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?!\w)")
-SPELLED = re.compile(r"(?<!\w)[A-Za-z0-9._-]{2,64}\s?[\[(]at[\])]\s?[A-Za-z0-9-]{2,64}(?:\s?[\[(]dot[\])]\s?[A-Za-z]{2,12})+(?!\w)")
-NAME = re.compile(r"(?<!\w)(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\.?\x20[A-Z][a-z]+(?:\x20[A-Z][a-z]+)?(?!\w)")
+HEXES = tuple((KINDS.index(kind), re.compile(pattern)) for kind, pattern in (("ipv6", r"(?<![\w:.])(?=[0-9A-Fa-f:]*[0-9A-Fa-f])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:.])"), ("hardware", r"(?<![\w:-])[0-9A-Fa-f]{2}(?:[:-][0-9A-Fa-f]{2}){5}(?![\w:-])")))
+SPELLED = re.compile(r"(?<!\w)[A-Za-z0-9._-]{2,64}\s?[\[(]at[\])]\s?[A-Za-z0-9-]{2,64}(?:\s?(?:[\[(]dot[\])]|\.)\s?[A-Za-z]{2,12})+(?!\w)")
+HANDLE = re.compile(r"(?<![\w@./])@[A-Za-z][A-Za-z0-9_]{2,29}(?![\w@]|\.[A-Za-z])")
+TITLES = "Mr Mrs Ms Dr Prof Herr Frau Mme Monsieur Madame Sr Sra Señor Señora".split()
+CUES = "dear signed sincerely regards contact patient client name called hallo liebe lieber cher chère querido querida".split()
+_CAP = r"[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+(?:-[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+)?"
+TITLED = re.compile(rf"(?<!\w)(?:{'|'.join(TITLES)})\.?\x20({_CAP}(?:\x20{_CAP}){{0,2}})")
+CUED = re.compile(rf"(?<!\w)(?i:{'|'.join(CUES)}|my\x20name\x20is|i\x20am|mein\x20name\x20ist|je\x20m'appelle|me\x20llamo)(?:\x20is)?[:,]?\x20({_CAP}(?:\x20{_CAP}){{0,2}})(?!\w)")
+BARE = re.compile(rf"(?<!\w)({_CAP})\x20{_CAP}(?:\x20{_CAP})?(?!\w)")
+NAME = KINDS.index("name")
 
 #: Gazetteers of the labelers.
 ENDINGS = frozenset("com org net edu gov info de fr es uk eu io co".split())
@@ -56,13 +91,23 @@ NEAR = {
     "email": ("mail", "contact", "write", "address", "correo", "courriel"),
     "ip": ("ip", "host", "server", "address", "login"),
     "card": ("card", "visa", "credit", "karte", "carte", "tarjeta", "payment"),
-    "phone": ("phone", "call", "tel", "mobile", "fax", "cell", "telefon", "contact"),
-    "national_id": ("ssn", "social", "security", "tax", "identity"),
+    "phone": ("phone", "call", "tel", "mobile", "fax", "cell", "contact"),
+    "national_id": ("ssn", "social", "security", "tax", "identity", "dni", "passport"),
     "iban": ("iban", "bank", "account", "konto", "compte", "cuenta"),
-    "name": ("name", "patient", "client", "signed", "dear", "contact"),
+    "ipv6": ("ip", "host", "server", "address", "login"),
+    "hardware": ("mac", "device", "adapter", "ethernet"),
+    "handle": ("follow", "twitter", "instagram", "handle", "profile", "user"),
+    "date": ("born", "birth", "dob", "geboren", "geburtsdatum", "né le", "née le", "nacid", "nacimiento"),
+    "address": ("live", "address", "home", "reside", "wohn", "adresse", "habite", "vive", "dirección"),
+    "name": ("name", "patient", "client", "signed", "dear", "contact", "born", "regards"),
 }
+AGAINST = ("version", "release", "build", "order", "invoice", "isbn", "sku", "model", "part no", "serial", "ticket", "published", "updated", "chapter", "section", "catalog", "batch", "lot ")
 WINDOW = 40
-LABELERS = 6
+LABELERS = 8
+#: Hashed features of a span's shape and of the words around it.
+BUCKETS = 1024
+WORDS = re.compile(r"\w+")
+_DNI = "TRWAGMYFPDXBNJZSQVHLCKE"
 
 
 def luhn(digits: str) -> bool:
@@ -101,70 +146,115 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def _iban_ok(s: str) -> bool:
-    s = s.replace(" ", "")
-    return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
-
-
-def _loose(text: str) -> list[tuple[int, int, int]]:
+def _loose(text: str, names: frozenset) -> list[tuple[int, int, int]]:
     out = []
     if HAS_DIGIT.search(text):
         for kind, pattern in LOOSE:
-            out += [(KINDS.index(kind), m.start(), m.end()) for m in pattern.finditer(text)]
-        out += [(KINDS.index("iban"), m.start(), m.end()) for m in IBAN.finditer(text)]
+            out += [(kind, m.start(), m.end()) for m in pattern.finditer(text)]
+    if ":" in text or "-" in text:
+        for kind, pattern in HEXES:
+            out += [(kind, m.start(), m.end()) for m in pattern.finditer(text)]
     if "at]" in text or "at)" in text:
         out += [(0, m.start(), m.end()) for m in SPELLED.finditer(text)]
-    out += [(KINDS.index("name"), m.start(), m.end()) for m in NAME.finditer(text)]
+    if "@" in text:
+        out += [(KINDS.index("handle"), m.start(), m.end()) for m in HANDLE.finditer(text)]
+    for pattern in (TITLED, CUED):
+        out += [(NAME, m.start(1), m.end(1)) for m in pattern.finditer(text)]
+    out += [(NAME, m.start(), m.end()) for m in BARE.finditer(text) if m[1].lower() in names]
     return out
 
 
-def _votes(text: str, kind: int, start: int, end: int, base: bool) -> int:
-    """The six votes (0 no, 1 yes, 2 abstains) as one number in base 3."""
+def cued_names(text: str) -> Iterator[str]:
+    """The words of the names behind titles and cues."""
+    for pattern in (TITLED, CUED):
+        for m in pattern.finditer(text):
+            yield from m[1].lower().split(" ")
+
+
+def _valid(name: str, span: str, digits: str) -> int:
+    if name == "card":
+        return int(luhn(digits))
+    if name == "iban":
+        s = span.replace(" ", "")
+        return int(int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1)
+    if name == "ip":
+        return int(all(int(p) <= 255 for p in span.split(".")) and not span.startswith(("0.", "255.")))
+    if name == "ipv6":
+        try:
+            return int(not ipaddress.IPv6Address(span).is_unspecified)
+        except ValueError:
+            return 0
+    if name == "national_id":
+        if span[-1].isalpha():
+            return int(_DNI[int(digits) % 23] == span[-1])
+        return int(span[:3] not in ("000", "666") and span[0] != "9" and span[4:6] != "00" and span[7:] != "0000")
+    if name == "date":
+        y, m, d = (span.split("-")) if "-" in span else reversed(re.split(r"[./]", span))
+        return int(1900 <= int(y) <= 2030 and (1 <= int(m) <= 12 and 1 <= int(d) <= 31 or 1 <= int(d) <= 12 and 1 <= int(m) <= 31))
+    return 2
+
+
+def _votes(text: str, small: frozenset, names: frozenset, kind: int, start: int, end: int) -> int:
+    """The eight votes (0 no, 1 yes, 2 abstains) as one number in base 3. small: words that the text writes small."""
     span, name = text[start:end], KINDS[kind]
     digits = NOT_DIGIT.sub("", span)
-    strict = 1 if base else 2 if name in ("iban", "name", "national_id") else 0
-    if name == "card":
-        value = int(luhn(digits))
-    elif name == "iban":
-        value = int(_iban_ok(span))
-    elif name == "ip":
-        value = int(not span.startswith(("0.", "255.")))
-    elif name == "national_id":
-        value = int(span[:3] not in ("000", "666") and span[0] != "9" and span[4:6] != "00" and span[7:] != "0000")
-    elif name == "phone":
-        value = int(len(set(digits)) > 2)
-    else:
-        value = 2
+    words = [w.lower() for w in WORDS.findall(span)] if name == "name" else ()
     if name == "email":
         gazetteer = int(re.split(r"[^A-Za-z]+", span)[-1].lower() in ENDINGS)
     elif name == "name":
-        gazetteer = 1 if set(re.findall(r"[a-z]+", span.lower())) & GIVEN else 2
+        gazetteer = int(words[0] in names)
     else:
         gazetteer = 2
-    around = f"{text[max(0, start - WINDOW) : start]} {text[end : end + WINDOW]}".lower()
-    near = 1 if any(w in around for w in NEAR[name]) else 2
+    around = f"{text[max(0, start - WINDOW) : start]} {text[end : end + WINDOW // 2]}".lower()
+    near = int(any(w in around for w in NEAR[name]))
+    against = int(not any(w in around for w in AGAINST))
     edges = int(not (start and text[start - 1].isalnum()) and not (end < len(text) and text[end].isalnum()))
     n = len(digits)
-    length = {"card": int(n in (13, 14, 15, 16, 19)), "phone": int(10 <= n <= 13), "email": int(6 <= len(span) <= 100), "ip": int(7 <= len(span) <= 15), "iban": int(15 <= len(span.replace(" ", "")) <= 34)}.get(name, 2)
+    length = {"card": int(n in (13, 14, 15, 16, 19)), "phone": int(9 <= n <= 13), "email": int(6 <= len(span) <= 100), "ip": int(7 <= len(span) <= 15), "iban": int(15 <= len(span.replace(" ", "")) <= 34), "name": int(1 <= len(words) <= 3 and min(map(len, words), default=0) >= 2)}.get(name, 2)
+    separators = set(re.sub(r"[0-9()+]", "", span)) if name in ("card", "phone") else set()
+    grouping = 2 if not separators else int(len(separators - {" "}) <= 1)
+    if name == "name":
+        odd = 0 if any(w in small for w in words) else 1
+    elif n >= 8:
+        odd = int(len(set(digits)) > 2 and digits not in "01234567890123456789" and digits not in "98765432109876543210")
+    else:
+        odd = 2
     code = 0
-    for v in (strict, value, gazetteer, near, edges, length):
+    for v in (_valid(name, span, digits), gazetteer, near, against, edges, length, grouping, odd):
         code = 3 * code + v
     return code
 
 
-def candidates(text: str) -> list[tuple[int, int, int, bool, int]]:
-    """(kind, start, end, base, votes); added candidates overlap neither base spans nor each other."""
+def _bucket(what: str) -> int:
+    return xxhash.xxh3_64_intdigest(what) % BUCKETS
+
+
+def _context(text: str, kind: int, start: int, end: int) -> list[int]:
+    """Four hashed features: the span's shape, the two words before it, the word after it."""
+    shape = re.sub(r"(.)\1+", r"\1", "".join("9" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c for c in text[start:end]))
+    before = [re.sub(r"[0-9]", "#", w) for w in WORDS.findall(text[max(0, start - WINDOW) : start].lower())[-2:]]
+    after = WORDS.findall(text[end : end + WINDOW].lower())[:1]
+    return [_bucket(f"s{kind}{shape}"), *[_bucket(f"b{kind}{w}") for w in (*[""] * (2 - len(before)), *before)], _bucket(f"a{kind}{after[0] if after else ''}")]
+
+
+def candidates(text: str, names: frozenset = GIVEN) -> list[tuple[int, int, int, bool, int, list[int]]]:
+    """(kind, start, end, base, votes, context); added candidates overlap neither base spans nor each other."""
     base = base_spans(text)
-    out = [(k, s, e, True, _votes(text, k, s, e, True)) for k, s, e in base]
+    loose = _loose(text, names)
+    if not base and not loose:
+        return []
+    small = frozenset(w for w in WORDS.findall(text) if w.islower()) if any(k == NAME for k, _, _ in loose) else frozenset()
+    describe = lambda k, s, e: (_votes(text, small, names, k, s, e), _context(text, k, s, e))
+    out = [(k, s, e, True, *describe(k, s, e)) for k, s, e in base]
     taken = sorted((s, e) for _, s, e in base)
     last, at = 0, 0
-    for k, s, e in sorted(_loose(text), key=lambda x: (x[1], -x[2], x[0])):
+    for k, s, e in sorted(loose, key=lambda x: (x[1], -x[2], x[0])):
         while at < len(taken) and taken[at][1] <= s:
             at += 1
         # base spans of different kinds may nest, so look at each that begins before e
         if s < last or any(a < e and s < b for a, b in _from(taken, at, e)):
             continue
-        out.append((k, s, e, False, _votes(text, k, s, e, False)))
+        out.append((k, s, e, False, *describe(k, s, e)))
         last = e
     return out
 
@@ -175,88 +265,141 @@ def _from(spans: list[tuple[int, int]], at: int, end: int) -> Iterator[tuple[int
         at += 1
 
 
-def unpack(code: int) -> list[int]:
-    return [code // 3**i % 3 for i in range(LABELERS - 1, -1, -1)]
+def unpack(codes: np.ndarray) -> np.ndarray:
+    """Votes of each code, one column a labeler."""
+    return np.stack([codes // 3**i % 3 for i in range(LABELERS - 1, -1, -1)], axis=1) if len(codes) else np.zeros((0, LABELERS), dtype=np.int64)
 
 
-class Model:
-    """sensitivity, specificity: of each labeler; prior: of each kind; weights: of the classifier."""
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
+
+
+#: Beta priors (yes, no) of the labelers' sensitivities and (no, yes) of their specificities, in the order of _votes: what fails a
+#: checksum is hardly ever personal data, what stands beside "version" or "isbn" neither; a cue may well be missing.
+SENSITIVE = np.array([(200, 1), (4, 2), (2, 2), (200, 1), (20, 1), (20, 1), (20, 1), (20, 1)], dtype=float)
+SPECIFIC = np.array([(8, 2), (4, 2), (8, 2), (2, 8), (2, 8), (2, 8), (2, 8), (2, 4)], dtype=float)
+
 
-    def __init__(self, histogram: dict[tuple[int, int], int], rounds: int = 200):
-        keys = sorted(histogram)
-        n = np.array([histogram[k] for k in keys], dtype=float)
-        kind = np.array([k for k, _ in keys], dtype=int)
-        votes = np.array([unpack(v) for _, v in keys]).reshape(-1, LABELERS)
+class Votes:
+    """Dawid and Skene's model by expectation-maximisation. histogram: (kind, base, votes) -> count."""
+
+    def __init__(self, histogram: dict[tuple[int, bool, int], int], rounds: int = 500):
+        self.keys = sorted(histogram)
+        n = np.array([histogram[k] for k in self.keys], dtype=float)
+        kind = np.array([k for k, _, _ in self.keys], dtype=int)
+        base = np.array([b for _, b, _ in self.keys], dtype=bool)
+        votes = unpack(np.array([v for _, _, v in self.keys], dtype=np.int64))
         yes, no = (votes == 1).astype(float), (votes == 0).astype(float)
-        self.sensitivity, self.specificity, self.prior = np.full(LABELERS, 0.8), np.full(LABELERS, 0.8), np.full(len(KINDS), 0.5)
-        post = np.zeros(len(keys))
-        for _ in range(rounds if len(keys) else 0):
+        self.sensitivity, self.specificity, self.prior = np.full(LABELERS, 0.8), np.full(LABELERS, 0.6), np.full(len(KINDS), 0.5)
+        # base spans count as much as the loose candidates at most: they teach the labelers, and the loose ones too
+        weight = np.where(base, np.minimum(1.0, max(1.0, n[~base].sum()) / max(1.0, n[base].sum())), 1.0) * n
+        post = np.where(base, 1.0, 0.0)
+        for _ in range(rounds if len(self.keys) else 0):
             one = np.log(self.prior[kind]) + yes @ np.log(self.sensitivity) + no @ np.log(1 - self.sensitivity)
             zero = np.log(1 - self.prior[kind]) + yes @ np.log(1 - self.specificity) + no @ np.log(self.specificity)
-            new = 1 / (1 + np.exp(np.clip(zero - one, -50, 50)))
-            # Beta(4, 2) on each reliability keeps a labeler better than chance, Beta(2, 2) on each share
-            w1, w0 = n * new, n * (1 - new)
-            self.sensitivity = np.clip((w1 @ yes + 3) / (w1 @ (yes + no) + 4), 0.5, 0.999)
-            self.specificity = np.clip((w0 @ no + 3) / (w0 @ (yes + no) + 4), 0.5, 0.999)
-            self.prior = np.array([((w1 * (kind == k)).sum() + 1) / ((n * (kind == k)).sum() + 2) for k in range(len(KINDS))])
-            if np.abs(new - post).max(initial=0) < 1e-9:
-                post = new
-                break
+            new = np.where(base, 1.0, sigmoid(one - zero))
+            w1, w0 = weight * new, weight * (1 - new)
+            self.sensitivity = np.clip((w1 @ yes + SENSITIVE[:, 0]) / (w1 @ (yes + no) + SENSITIVE.sum(axis=1)), 0.01, 0.99)
+            # a labeler that says yes to everything says nothing, but none is worse than chance
+            self.specificity = np.clip(np.maximum((w0 @ no + SPECIFIC[:, 0]) / (w0 @ (yes + no) + SPECIFIC.sum(axis=1)), 1 - self.sensitivity), 0.01, 0.99)
+            loose = np.where(base, 0.0, n)
+            self.prior = np.array([((loose * new * (kind == k)).sum() + 1) / ((loose * (kind == k)).sum() + 2) for k in range(len(KINDS))])
+            moved = np.abs(new - post).max(initial=0)
             post = new
-        self.weights = self._train(self.features(kind, votes), post, n)
-
-    @staticmethod
-    def features(kind: np.ndarray, votes: np.ndarray) -> np.ndarray:
-        return np.hstack([np.ones((len(kind), 1)), np.eye(len(KINDS))[kind], votes == 1, votes == 0]).astype(float)
-
-    @staticmethod
-    def _train(x: np.ndarray, y: np.ndarray, n: np.ndarray, steps: int = 50) -> np.ndarray:
-        """Ridge logistic regression on soft labels, by Newton's steps; counts are damped to their logarithm's scale."""
-        w = np.zeros(x.shape[1])
-        n = np.log1p(n)
-        for _ in range(steps if len(x) else 0):
-            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            grad = x.T @ (n * (y - p)) - 0.05 * w
-            step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(len(w)), grad)
-            w = w + step
-            if np.abs(step).max() < 1e-8:
+            if moved < 1e-9:
                 break
-        return w
+        self.posterior = dict(zip(self.keys, post.tolist(), strict=True))
+
+
+#: Features of a candidate: one, its kind, each labeler's yes or no, and four of its context.
+DENSE = 1 + len(KINDS) + 2 * LABELERS
+ACTIVE = 1 + 1 + LABELERS + 4
+NONE = DENSE + BUCKETS
+
+
+def features(kinds: np.ndarray, codes: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """The places of each candidate's ACTIVE features; an abstention has the place NONE, of weight 0."""
+    votes = unpack(codes)
+    at = 1 + len(KINDS) + 2 * np.arange(LABELERS) + (votes == 1)
+    return np.concatenate([np.zeros((len(kinds), 1), dtype=np.int64), 1 + kinds[:, None], np.where(votes == 2, NONE, at), DENSE + context.reshape(len(kinds), 4)], axis=1)
+
+
+def train(x: np.ndarray, y: np.ndarray, n: np.ndarray, steps: int = 400) -> np.ndarray:
+    """Ridge logistic regression on soft labels, by accelerated gradient steps. The context's weights are held smaller than the votes'."""
+    w = np.zeros(NONE + 1)
+    ridge = np.where(np.arange(NONE + 1) < DENSE, 0.02, 0.5)
+    ahead, total = w.copy(), max(1.0, n.sum())
+    rate = 4.0 / ACTIVE
+    for k in range(steps if len(x) else 0):
+        error = n * (sigmoid(ahead[x].sum(axis=1)) - y) / total
+        grad = np.bincount(x.ravel(), weights=np.repeat(error, x.shape[1]), minlength=NONE + 1) + ridge * ahead / total
+        new = ahead - rate * grad
+        new[NONE] = 0.0
+        ahead, w = new + k / (k + 3) * (new - w), new
+    return w
 
-    def probability(self, kind: int, votes: int) -> float:
-        x = self.features(np.array([kind]), np.array([unpack(votes)]))
-        return float(1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30)))[0])
 
-    def accepted(self, threshold: float = ACCEPT) -> frozenset[tuple[int, int]]:
-        """Every (kind, votes) that the classifier takes."""
-        if not self.weights.any():
-            return frozenset()
-        kind, code = np.divmod(np.arange(len(KINDS) * 3**LABELERS), 3**LABELERS)
-        votes = np.array([unpack(c) for c in code])
-        p = 1 / (1 + np.exp(-np.clip(self.features(kind, votes) @ self.weights, -30, 30)))
-        return frozenset(zip(kind[p >= threshold].tolist(), code[p >= threshold].tolist(), strict=True))
+class Model:
+    """names: the gazetteer; votes: EM's estimates; weights: the span classifier's, empty without candidates."""
+
+    def __init__(self, names: frozenset = GIVEN, votes: Votes | None = None, weights: np.ndarray | None = None):
+        self.names, self.votes, self.weights = names, votes or Votes({}), weights
+
+    def probability(self, found: list[tuple]) -> np.ndarray:
+        """Of each candidate to be personal data."""
+        if self.weights is None or not found:
+            return np.zeros(len(found))
+        x = features(np.array([c[0] for c in found]), np.array([c[4] for c in found]), np.array([c[5] for c in found]))
+        return sigmoid(self.weights[x].sum(axis=1))
+
+    def spans(self, text: str, threshold: float = ACCEPT) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+        """Base spans and added ones."""
+        found = candidates(text, self.names)
+        loose = [c for c in found if not c[3]]
+        return [c[:3] for c in found if c[3]], [c[:3] for c, p in zip(loose, self.probability(loose), strict=True) if p >= threshold]
 
 
-def fit(docs: DataFrame, *, text_col: str = "text") -> Model:
-    """EM and classifier over the votes of all candidates in all texts."""
+def learn_names(docs: DataFrame, *, text_col: str = "text", max_names: int = MAX_NAMES) -> frozenset:
+    """GIVEN and the words that stand behind titles and cues twice or more in the corpus, the most frequent max_names."""
 
     @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
         for b in batches:
+            found: Counter = Counter()
             for t in b.column(0).to_pylist():
-                found.update((k, v) for k, _, _, _, v in candidates(t or ""))
-        rows = sorted(found)
-        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([v for _, v in rows], pa.int32()), pa.array([found[x] for x in rows], pa.int64())], names=["kind", "votes", "n"])
+                found.update(cued_names(t or ""))
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
 
-    counts = small_batches(docs.select(F.col(text_col).alias("text"))).mapInArrow(run, "kind int, votes int, n long")
-    return Model({(r.kind, r.votes): r.n for r in counts.groupBy("kind", "votes").agg(F.sum("n").alias("n")).collect()})
+    counts = small_batches(docs.select(F.col(text_col).alias("text"))).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return GIVEN | {r.word for r in counts.filter("n > 1").orderBy(F.desc("n"), "word").limit(max_names).collect()}
 
 
-def spans_of(text: str, taken: frozenset[tuple[int, int]]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
-    """Base spans and added ones."""
-    found = candidates(text)
-    return [x[:3] for x in found if x[3]], [x[:3] for x in found if not x[3] and (x[0], x[4]) in taken]
+def fit(docs: DataFrame, *, text_col: str = "text", max_names: int = MAX_NAMES, train_spans: int = TRAIN_SPANS) -> Model:
+    """Gazetteer, EM and classifier over the candidates of all texts."""
+    names = learn_names(docs, text_col=text_col, max_names=max_names)
+
+    @tidied
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int32(), pa.bool_(), pa.int32(), pa.list_(pa.int32()))
+        for b in batches:
+            rows = [(k, base, v, x) for t in b.column(0).to_pylist() for k, _, _, base, v, x in candidates(t or "", names)]
+            cols = list(zip(*rows, strict=True)) if rows else [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["kind", "base", "votes", "context"])
+
+    # a few dozen bytes a candidate, written once: for the histogram and for the sample
+    found = small_batches(docs.select(F.col(text_col).alias("text"))).mapInArrow(run, "kind int, base boolean, votes int, context array<int>")
+    found = materialize(found.groupBy("kind", "base", "votes", "context").agg(F.count("*").alias("n")), "candidates")
+    votes = Votes({(r.kind, r.base, r.votes): r.n for r in found.groupBy("kind", "base", "votes").agg(F.sum("n").alias("n")).collect()})
+    chance = train_spans / max(1, found.count())
+    h = F.pmod(F.xxhash64("kind", "base", "votes", "context"), F.lit(1 << 30))
+    # twice the chance and then a limit by the same hash: at most train_spans rows, whatever the table
+    sample = found.filter(h < min(2.0, 2 * chance) * float(1 << 30)).orderBy(h, "kind", "votes", F.col("context").cast("string")).limit(train_spans).collect()
+    discard(found)
+    if not sample:
+        return Model(names, votes)
+    x = features(np.array([r.kind for r in sample]), np.array([r.votes for r in sample]), np.array([r.context for r in sample]))
+    y = np.array([votes.posterior[r.kind, r.base, r.votes] for r in sample])
+    return Model(names, votes, train(x, y, np.log1p(np.array([r.n for r in sample], dtype=float))))
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:
@@ -265,14 +408,14 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
 
 def find_pii(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_email, n_ip, n_card, n_phone, base_sha256, spans: one row for each row of docs."""
-    taken = model.accepted()
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
             for t in b.column(1).to_pylist():
-                base, added = spans_of(t or "", taken)
+                base, added = shared.value.spans(t or "")
                 out.append((*[sum(x[0] == k for x in base) for k in range(4)], hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(base + added)))
             cols = list(zip(*out, strict=True)) if out else [()] * 6
             kinds = (*[pa.int64()] * 4, pa.string(), pa.string())
@@ -282,9 +425,9 @@ def find_pii(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     return out.withColumnRenamed("id", id_col)
 
 
-def masked(text: str, taken: frozenset[tuple[int, int]]) -> str:
+def masked(text: str, model: Model) -> str:
     """text with each span replaced by its kind in square brackets; of overlapping spans the union goes, under the first one's kind."""
-    base, added = spans_of(text, taken)
+    base, added = model.spans(text)
     parts, at, open_end = [], 0, 0
     for s, e, k in sorted((s, e, k) for k, s, e in base + added):
         if s >= open_end:
@@ -295,7 +438,7 @@ def masked(text: str, taken: frozenset[tuple[int, int]]) -> str:
 
 def mask_pii(docs: DataFrame, model: Model, *, text_col: str = "text", size_col: str | None = "n_chars") -> DataFrame:
     """docs with personal data masked in the text (and its length, where docs has that column)."""
-    taken = model.accepted()
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
     size_at = docs.columns.index(size_col) if size_col in docs.columns else None
 
@@ -304,7 +447,7 @@ def mask_pii(docs: DataFrame, model: Model, *, text_col: str = "text", size_col:
         for b in batches:
             cols = list(b.columns)
             old = cols[at].to_pylist()
-            new = [t and masked(t, taken) for t in old]
+            new = [t and masked(t, shared.value) for t in old]
             cols[at] = pa.array(new, cols[at].type)
             if size_at is not None:
                 sizes = [len(n) if n is not o else k for o, n, k in zip(old, new, cols[size_at].to_pylist(), strict=True)]
