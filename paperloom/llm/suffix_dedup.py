@@ -5,17 +5,17 @@ are those at minimiser positions: of every window of ``MIN_WORDS`` words, the su
 hash of its first ``PREFIX`` words, the leftmost among equals. Content alone selects them, so two
 copies of a passage keep the same suffixes, about one word in twenty.
 
-Sorting the kept suffixes by prefix and comparing neighbours finds prefixes that more than one
-document has; all other text is done with. Around such a suffix a match is extended left and right:
-every window of ``MIN_WORDS`` words that the suffix stands for (it is that window's minimiser)
-is compared, by the hash of the whole window, with its neighbours in the order of those hashes.
-Windows that agree and touch merge into passages of any length. As each window belongs to exactly
-one kept suffix, in every copy to the same one, no repeat of ``MIN_WORDS`` words is missed.
-
-Prefixes are grouped by pre-aggregated least and greatest document, never by lists. Windows travel
-packed, as arrays by (batch, prefix range), and a task sorts those of one range; windows of prefixes
-with over ``HOT_ROWS`` rows (a passage that a third of all documents share) go as rows instead, are
-pre-aggregated as well and split where they are joined again.
+A prefix that only one document has is done with. The kept suffixes of the others travel with the words
+that their windows cover, packed, as arrays by (batch, prefix range), and a task makes the sparse suffix
+array of one range: it sorts the suffixes by prefix and by what follows, word by word. Matches are extended
+to the left one word at a time and, of the suffixes that still agree, neighbours are compared to the right as
+far as a window reaches, on the words (64-bit hashes). Windows of ``MIN_WORDS`` words that agree and touch
+merge into passages of any length. As each window belongs to exactly one kept suffix, in every copy to the
+same one, and all suffixes that agree on a window are neighbours, no repeat of ``MIN_WORDS`` words is missed.
+
+Prefixes are grouped by pre-aggregated least and greatest document, never by lists. Windows of prefixes with
+over ``HOT_ROWS`` rows (a passage that a third of all documents share) are not sorted in one task: they go as
+rows of (window hash, document), pre-aggregated as well and split where they are joined again.
 
 Result: one row for each document with a passage that another document has, with all such passages
 (spans of words, end exclusive) and those of them to drop: all but the occurrence in the document
@@ -44,7 +44,7 @@ MIN_WORDS = 50
 PREFIX = 8
 BASE = 0x9E3779B97F4A7C15 | 1
 #: A prefix of more rows is compared by pre-aggregated rows, any other within one range of prefixes, whose windows fit a task.
-HOT_ROWS = 100_000
+HOT_ROWS = 2_000
 #: Windows that one task sorts at once.
 TASK_WINDOWS = 500_000
 
@@ -108,15 +108,14 @@ def repeated(rows: DataFrame, key: str) -> DataFrame:
     return rows.join(shared, rows[key] == shared["_key"]).drop("_key")
 
 
-def _windows(text: str | None, own: list[int], min_words: int, prefix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
-    """Of the kept suffixes at own: the hashes of the windows they stand for, suffix by suffix, each suffix's first window,
-    how many it has, the hash of its prefix; and the number of words. A suffix's windows begin one after another."""
+def _kept(text: str | None, own: list[int], min_words: int, prefix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words' hashes, and of each kept suffix at own its place, the first of the windows that it stands for and how many
+    they are; these begin one after another, none behind the suffix."""
     w = word_hashes(text)
-    prefixes = window_hashes(w, prefix)
-    at = minimisers(prefixes, min_words, prefix)
+    at = minimisers(window_hashes(w, prefix), min_words, prefix)
     found = np.flatnonzero(np.isin(at, np.array(own, dtype=np.int64)))
     cut = np.flatnonzero(np.concatenate([[True], at[found][1:] != at[found][:-1]])) if len(found) else found
-    return window_hashes(w, min_words)[found], found[cut].astype(np.int32), np.diff(np.append(cut, len(found))).astype(np.uint32), prefixes[at[found[cut]]], len(w)
+    return w, at[found[cut]], found[cut], np.diff(np.append(cut, len(found)))
 
 
 def _spread(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -125,24 +124,57 @@ def _spread(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first.astype(np.int64) - ends + counts, counts)
 
 
-@tidied
-def _compare(t):
-    """Of one range of prefixes: for each document the runs of its windows that another one has, and whether that one comes first."""
-    column = lambda name, kind: np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
-    docs, counts, sizes, h = t.column("docs").combine_chunks().flatten(), column("counts", np.uint32), column("sizes", np.int32), column("hashes", U)
-    starts = _spread(column("starts", np.int32), counts)
-    names, code = np.unique(docs.to_numpy(zero_copy_only=False), return_inverse=True)
-    words = np.zeros(len(names), dtype=np.int64)
-    words[code] = sizes
-    doc = np.repeat(code, counts)
-    order = np.lexsort((doc, h))
-    h, doc, starts = h[order], doc[order], starts[order]
-    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, dtype=np.int64)
-    size = np.diff(np.append(first, len(h)))
-    # sorted by document as well: neighbours of one hash differ if its first and last do
-    least, most = np.repeat(doc[first], size), np.repeat(doc[first + size - 1], size)
-    keep = np.flatnonzero(least != most)
-    keep = keep[np.lexsort((starts[keep], doc[keep]))]
+def _compare(key: np.ndarray, doc: np.ndarray, place: np.ndarray, first: np.ndarray, counts: np.ndarray, words: np.ndarray, min_words: int, prefix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of kept suffixes that another document has: the suffix, the window's start, the least document with it.
+
+    words: of each suffix the hashes of the words that its windows cover, one after another. Suffixes are sorted by prefix and then
+    by what follows, word by word. Matches are extended to the left one word at a time: of the suffixes that agree on the words so
+    far, neighbours in the sorted order are compared to the right, on the words themselves, as far as a window reaches.
+    """
+    reach = min_words - prefix  # words of a window left of its suffix at most
+    left = place - first
+    w = np.zeros((len(key), reach + min_words), dtype=U)
+    sizes = counts + min_words - 1
+    row = np.repeat(np.arange(len(key)), sizes)
+    w[row, _spread(reach - left, sizes)] = words
+    # the sparse suffix array: prefix by prefix, in the order of the words behind
+    order = np.lexsort([w[:, c] for c in range(reach + min_words - 1, reach + prefix - 1, -1)] + [key]) if len(key) else np.zeros(0, dtype=np.int64)
+    group = key.copy()
+    found = []
+    alive = order
+    for l in range(reach + 1):
+        # those that reach so far to the left, and agree on it with another document
+        alive = alive[left[alive] >= l]
+        if l:
+            group[alive] = mix(group[alive] * U(BASE) + w[alive, reach - l])
+        alive = alive[np.argsort(group[alive], kind="stable")]
+        if not len(alive):
+            break
+        g, d = group[alive], doc[alive]
+        edge = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+        many = np.minimum.reduceat(d, edge) != np.maximum.reduceat(d, edge)
+        alive = alive[np.repeat(many, np.diff(np.append(edge, len(alive))))]
+        here = alive[left[alive] - counts[alive] < l]  # those that stand for the window that begins l words before them
+        if len(here) < 2:
+            continue
+        same = np.zeros(len(here), dtype=bool)
+        for lo in range(1, len(here), 1 << 14):
+            x, y = here[lo - 1 : lo - 1 + (1 << 14)], here[lo : lo + (1 << 14)]
+            x = x[: len(y)]
+            same[lo : lo + len(y)] = (w[x, reach - l : reach - l + min_words] == w[y, reach - l : reach - l + min_words]).all(axis=1)
+        edge = np.flatnonzero(~same)
+        d = doc[here]
+        least, most = np.minimum.reduceat(d, edge), np.maximum.reduceat(d, edge)
+        size = np.diff(np.append(edge, len(here)))
+        least, keep = np.repeat(least, size), np.repeat(least != most, size)
+        found.append((here[keep], place[here[keep]] - l, least[keep]))
+    empty = np.zeros(0, dtype=np.int64)
+    return tuple(np.concatenate([x[i] for x in found]) if found else empty for i in range(3))
+
+
+def _runs(names: np.ndarray, kind: pa.DataType, doc: np.ndarray, starts: np.ndarray, least: np.ndarray, sizes: np.ndarray) -> pa.Table:
+    """One row a document: the runs of its repeated windows, whether another document comes first, and the least such one."""
+    keep = np.lexsort((starts, doc))
     doc, starts, least = doc[keep], starts[keep], least[keep]
     later = least < doc
     new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (starts[1:] != starts[:-1] + 1) | (later[1:] != later[:-1])]) if len(doc) else np.zeros(0, dtype=bool)
@@ -150,10 +182,10 @@ def _compare(t):
     cut = np.flatnonzero(np.concatenate([[True], doc[run][1:] != doc[run][:-1]])) if len(run) else run
     edges = pa.array(np.append(cut, len(run)).astype(np.int32))
     taken = doc[run][cut]
-    lists = lambda x, kind: pa.ListArray.from_arrays(edges, pa.array(x, kind))
-    by = lambda x: pa.array(names[x].tolist(), docs.type)
+    lists = lambda x, t: pa.ListArray.from_arrays(edges, pa.array(x, t))
+    by = lambda x: pa.array(names[x].tolist(), kind)
     ends = starts[np.append(run[1:], len(doc)) - 1] if len(run) else starts
-    return pa.table([by(taken), pa.array(words[taken]), lists(starts[run], pa.int32()), lists(ends, pa.int32()), lists(later[run], pa.bool_()), by(np.minimum.reduceat(least, run[cut]) if len(cut) else least)], names=["doc", "n_words", "starts", "ends", "later", "first_doc"])
+    return pa.table([by(taken), pa.array(sizes[taken]), lists(starts[run], pa.int32()), lists(ends, pa.int32()), lists(later[run], pa.bool_()), by(np.minimum.reduceat(least, run[cut]) if len(cut) else least)], names=["doc", "n_words", "starts", "ends", "later", "first_doc"])
 
 
 def passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, prefix: int = PREFIX) -> DataFrame:
@@ -173,37 +205,53 @@ def passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     @tidied
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [_windows(t, own, min_words, prefix) for t, own in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+            found = [_kept(t, own, min_words, prefix) for t, own in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
             if not found:
                 continue
-            h, starts, counts, prefixes = (np.concatenate([x[i] for x in found]) for i in range(4))
-            owner, sizes = np.repeat(np.arange(len(found)), [len(x[1]) for x in found]), np.array([x[4] for x in found], dtype=np.int32)
+            place, first, counts = (np.concatenate([x[i] for x in found]) for i in (1, 2, 3))
+            owner, sizes = np.repeat(np.arange(len(found)), [len(x[1]) for x in found]), np.array([len(x[0]) for x in found], dtype=np.int32)
+            offset = np.cumsum(sizes, dtype=np.int64) - sizes
+            w = np.concatenate([x[0] for x in found])
+            prefixes = np.concatenate([window_hashes(x[0], prefix)[x[1]] for x in found])
             part = (((prefixes >> U(32)) * U(ranges)) >> U(32)).astype(np.int32)
             order = np.argsort(part, kind="stable")
-            h = h[_spread((np.cumsum(counts, dtype=np.int64) - counts)[order], counts[order])]
-            starts, counts, owner, part = starts[order], counts[order], owner[order], part[order]
-            at = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+            place, first, counts, owner, part, prefixes = place[order], first[order], counts[order], owner[order], part[order], prefixes[order]
+            spans = counts + min_words - 1
+            w = w[_spread(first + offset[owner], spans)]
+            at = np.concatenate([[0], np.cumsum(spans, dtype=np.int64)])
             edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else [0]
             rows = []
             for lo, hi in zip(edges[:-1], edges[1:], strict=True):
                 own = owner[lo:hi]
-                rows.append((int(part[lo]), own, sizes[own].tobytes(), counts[lo:hi].tobytes(), h[at[lo] : at[hi]].tobytes(), starts[lo:hi].tobytes()))
+                rows.append((int(part[lo]), own, sizes[own].tobytes(), *[x[lo:hi].astype(np.int32).tobytes() for x in (place, first, counts)], prefixes[lo:hi].tobytes(), w[at[lo] : at[hi]].tobytes()))
             if rows:
                 offsets = pa.array(np.cumsum([0] + [len(r[1]) for r in rows]).astype(np.int32))
                 ids = pa.ListArray.from_arrays(offsets, b.column(0).take(pa.array(np.concatenate([r[1] for r in rows]))))
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), ids, *[pa.array([r[i] for r in rows], pa.binary()) for i in (2, 3, 4, 5)]], names=["p", "docs", "sizes", "counts", "hashes", "starts"])
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), ids, *[pa.array([r[i] for r in rows], pa.binary()) for i in range(2, 8)]], names=["p", "docs", "sizes", "places", "firsts", "counts", "prefixes", "words"])
 
-    packed = small_batches(marked.filter(F.size("places") > 0).select("doc", "text", "places")).mapInArrow(deal, f"p int, docs array<{kind}>, sizes binary, counts binary, hashes binary, starts binary")
-    found = packed.groupBy("p").applyInArrow(_compare, f"doc {kind}, n_words long, starts array<int>, ends array<int>, later array<boolean>, first_doc {kind}")
+    @tidied
+    def compare(t):
+        column = lambda name, kind: np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
+        docs = t.column("docs").combine_chunks().flatten()
+        names, code = np.unique(docs.to_numpy(zero_copy_only=False), return_inverse=True)
+        sizes = np.zeros(len(names), dtype=np.int64)
+        sizes[code] = column("sizes", np.int32)
+        place, first, counts = (column(x, np.int32).astype(np.int64) for x in ("places", "firsts", "counts"))
+        at, starts, least = _compare(column("prefixes", U), code, place, first, counts, column("words", U), min_words, prefix)
+        return _runs(names, docs.type, code[at], starts, least, sizes)
+
+    packed = small_batches(marked.filter(F.size("places") > 0).select("doc", "text", "places")).mapInArrow(deal, f"p int, docs array<{kind}>, sizes binary, places binary, firsts binary, counts binary, prefixes binary, words binary")
+    found = packed.groupBy("p").applyInArrow(compare, f"doc {kind}, n_words long, starts array<int>, ends array<int>, later array<boolean>, first_doc {kind}")
     if size.hot:
         # prefixes that very many documents have: rows, pre-aggregated by window, so that no task holds all of one
 
         @tidied
         def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                every = [_windows(t, own, min_words, prefix) for t, own in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
-                at = [len(x[0]) for x in every]
-                yield _rows([[x[0].view(np.int64) for x in every], [_spread(x[1], x[2]).astype(np.int32) for x in every], [np.full(len(x[0]), x[4], dtype=np.int32) for x in every]], [pa.int64(), pa.int32(), pa.int32()], at, b.column(0), ["doc", "hash", "start", "n_words"])
+                every = [_kept(t, own, min_words, prefix) for t, own in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+                starts = [_spread(first, counts) for _, _, first, counts in every]
+                hashes = [window_hashes(x[0], min_words)[s].view(np.int64) for x, s in zip(every, starts, strict=True)]
+                yield _rows([hashes, [s.astype(np.int32) for s in starts], [np.full(len(s), len(x[0]), dtype=np.int32) for x, s in zip(every, starts, strict=True)]], [pa.int64(), pa.int32(), pa.int32()], [len(s) for s in starts], b.column(0), ["doc", "hash", "start", "n_words"])
 
         windows = small_batches(marked.filter(F.size("hot_places") > 0).select("doc", "text", "hot_places")).mapInArrow(extend, f"doc {kind}, hash long, start int, n_words int")
         more = repeated(materialize(windows, "windows"), "hash").groupBy("doc").agg(F.max("n_words").cast("long").alias("n_words"), F.collect_list("start").alias("starts"), F.collect_list("start").alias("ends"), F.collect_list(F.col("first_doc") < F.col("doc")).alias("later"), F.min("first_doc").alias("first_doc"))
