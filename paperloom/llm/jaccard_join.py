@@ -9,7 +9,9 @@ H <= (|X|+|Y|)/7 elements differ (Jaccard >= 3/4). The universe of shingles is h
 m_k > H_k segments, so a linked pair agrees on at least m_k - H segments. For every segment that
 holds any of its elements a set has a key: the order-free hash of that subset. A set has keys in its
 own band and in a lower band that may hold its partners. Keys travel packed, as arrays by
-(batch, key range), and a task sorts the keys of one key range. Of a key its range and its lowest
+(batch, key range), and a task sorts the keys of one key range. A key that ``THIN`` sets of one batch share is
+thinned there: its members go to any task, as known members of a larger group and as a star around one of them,
+and this one alone goes on to the key's range, so that no task holds all sets of a hot key. Of a key its range and its lowest
 five bytes are kept: a range holds about TASK_KEYS keys at any size of the input, so about one pair
 of different keys in a range falls together, and verification drops what that brings.
 
@@ -22,8 +24,9 @@ that (a passage that many documents share) is passed over by every set that can
 slack, and the pigeonhole argument needs H+1 segments only (cost-based allocation). Sets that
 cannot afford it, and only those, match each other by one-deletion neighbourhoods, each segment of
 which stands for two; and the few for which even that is not enough (most of their elements are in
-crowded segments) are matched by their rarest elements, of which linked sets share one. So no link between different texts is lost, though pairs inside one component
-need not be listed.
+crowded segments) are matched by their rarest elements, of which linked sets share one. A set with no more
+segments than elements may differ (its hashes fall together; hardly ever) is held against all sets. So no link
+between different texts is lost, though pairs inside one component need not be listed.
 
 Recovery: each round's tables are written to the shared folder. Nothing but scalars reaches the
 driver.
@@ -39,6 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,6 +59,8 @@ SINGLES = 32
 SMALL, HOT = 4, 64
 #: Keys that one task sorts at once.
 TASK_KEYS = 1_500_000
+#: Sets of one batch that share a key from which on only one of them goes on to the key's range; the others are known members.
+THIN = 32
 #: Bytes of a key that travel; its range stands for the highest bits.
 KEY_BYTES = 5
 #: Below this many, ids of documents to be read again are broadcast (16 MB).
@@ -218,10 +224,24 @@ def describe(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     return small_batches(docs.select(*cols)).mapInArrow(run, f"doc_id {dict(docs.dtypes)[id_col]}, id long, n long, bitmap binary" + ", row_key long" * keyed)
 
 
-_PACKED = [("p", pa.int32()), ("ids", pa.binary()), ("bands", pa.binary()), ("spare", pa.binary()), ("counts", pa.binary()), ("keys", pa.binary())]
+_PACKED = [("p", pa.int32()), ("ids", pa.binary()), ("bands", pa.binary()), ("spare", pa.binary()), ("counts", pa.binary()), ("keys", pa.binary()), ("centres", pa.binary())]
 
 
-def signatures(docs: DataFrame, ranges: int, *, text_col: str = "text") -> DataFrame:
+def _hot_entries(every: np.ndarray, owner: np.ndarray, thin: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the keys that `thin` sets of a batch or more share: the places of all their entries, and of each the least owner's."""
+    low = (every & U((1 << 20) - 1)).astype(np.int64)
+    often = np.flatnonzero((np.bincount(low, minlength=1 << 20) >= thin)[low])  # a bound from above, so that few keys are sorted
+    often = often[np.lexsort((owner[often], every[often]))]
+    k, o = every[often], owner[often]
+    first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, dtype=np.int64)
+    size = np.diff(np.append(first, len(k)))
+    new = np.concatenate([[True], (k[1:] != k[:-1]) | (o[1:] != o[:-1])]) if len(k) else np.zeros(0, dtype=bool)
+    sets = np.add.reduceat(new.astype(np.int64), first) if len(k) else size
+    hot = np.repeat(sets >= thin, size)
+    return often[hot], np.repeat(often[first], size)[hot]
+
+
+def signatures(docs: DataFrame, ranges: int, *, text_col: str = "text", thin: int = THIN) -> DataFrame:
     """Packed keys: for each batch and key range the sets that have keys there, their bands, how many, and the keys."""
 
     @tidied
@@ -236,35 +256,53 @@ def signatures(docs: DataFrame, ranges: int, *, text_col: str = "text") -> DataF
                         found.append(keys(h, k))
                         owner.append(len(ids) - 1)
                         bands.append(k)
-                        spare.append(max(0, len(found[-1]) - most_differing(len(h), k) - 1))
+                        spare.append(len(found[-1]) - most_differing(len(h), k) - 1)
             if not found:
                 continue
-            ids, bands, spare = np.array(ids, dtype=np.int64), np.array(bands, dtype=np.uint8), np.array(spare, dtype=np.int32)
+            ids, bands, spare, owner = np.array(ids, dtype=np.int64), np.array(bands, dtype=np.uint8), np.array(spare, dtype=np.int32), np.array(owner)
             entry = np.repeat(np.arange(len(found)), [len(x) for x in found])
             every = np.concatenate(found)
+            out: dict = {n: [] for n, _ in _PACKED}
+            hot, centre = _hot_entries(every, ids[owner[entry]], thin)
+            if len(hot):
+                # members of hot keys go to any task, each with its key and the key's centre; only the centre goes to the key's range
+                e = entry[hot]
+                for lo in range(0, len(hot), 10_000):
+                    x = slice(lo, lo + 10_000)
+                    out["p"].append(int(every[hot[lo]] ^ ids[0].view(U)) % ranges)
+                    for name, values in (("ids", ids[owner[e[x]]]), ("bands", bands[e[x]]), ("spare", spare[e[x]]), ("keys", shortened(every[hot[x]], ranges)), ("centres", ids[owner[entry[centre[x]]]])):
+                        out[name].append(values.tobytes())
+                    out["counts"].append(b"")
+                stays = np.ones(len(every), dtype=bool)
+                stays[hot] = False
+                stays[centre] = True
+                every, entry = every[stays], entry[stays]
             part = range_of(every, ranges)
             order = np.argsort(part, kind="stable")
             part, entry, every = part[order], entry[order], every[order]
             edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
-            out: dict = {n: [] for n, _ in _PACKED}
             for lo, hi in zip(edges[:-1], edges[1:], strict=True):
                 e = entry[lo:hi]
                 starts = np.flatnonzero(np.concatenate([[True], e[1:] != e[:-1]]))
                 own = e[starts]
                 out["p"].append(int(part[lo]))
-                out["ids"].append(ids[np.array(owner)[own]].tobytes())
+                out["ids"].append(ids[owner[own]].tobytes())
                 out["bands"].append(bands[own].tobytes())
                 out["spare"].append(spare[own].tobytes())
                 out["counts"].append(np.diff(np.append(starts, hi - lo)).astype(np.uint32).tobytes())
                 out["keys"].append(packed(every[lo:hi]))
+                out["centres"].append(None)
             yield _batch(out, _PACKED)
 
-    return small_batches(docs.select(F.col(text_col).alias("text"))).mapInArrow(run, "p int, ids binary, bands binary, spare binary, counts binary, keys binary")
+    return small_batches(docs.select(F.col(text_col).alias("text"))).mapInArrow(run, "p int, ids binary, bands binary, spare binary, counts binary, keys binary, centres binary")
 
 
 @tidied
 def _group(t):
-    """The pairs of one key range (key null) and the members of its larger groups (b null)."""
+    """The pairs of one key range (key null), the members of its larger groups (b null) and of hot keys, and the sets with fewer
+    segments than may differ (key and b null): no key of theirs is sure to be shared."""
+    is_hot = pc.is_valid(t.column("centres"))
+    hot, t = t.filter(is_hot), t.filter(pc.invert(is_hot))
     column = lambda name, kind: np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
     ids, bands, spare, counts = column("ids", np.int64), column("bands", np.uint8), column("spare", np.int32), column("counts", np.uint32)
     k = unpacked(b"".join(t.column("keys").to_pylist()), t.column("p")[0].as_py() if len(t) else 0)
@@ -290,10 +328,19 @@ def _group(t):
     spoke = large[large != first[run[large]]]
     pairs.append(np.stack([i[first[run[spoke]]], i[spoke]], axis=1))
     pairs = np.unique(np.concatenate(pairs), axis=0) if len(k) else np.zeros((0, 2), dtype=np.int64)
-    a, is_pair = np.concatenate([pairs[:, 0], i[large]]), np.arange(len(pairs) + len(large)) < len(pairs)
-    member = lambda x, kind: pa.array(np.concatenate([np.zeros(len(pairs), dtype=kind), x[large].astype(kind)]), mask=is_pair)
-    b = pa.array(np.concatenate([pairs[:, 1], np.zeros(len(large), dtype=np.int64)]), mask=~is_pair)
-    return pa.table([pa.array(a), b, member(k, np.int64), member(bands[entry], np.int32), member(spare[entry], np.int32)], names=["a", "b", "key", "band", "spare"])
+    column = lambda name, kind: np.frombuffer(b"".join(hot.column(name).to_pylist()), kind)
+    hot_ids, centres = column("ids", np.int64), column("centres", np.int64)
+    spokes = np.unique(np.stack([centres, hot_ids], axis=1)[centres != hot_ids], axis=0)
+    pairs = np.concatenate([pairs, spokes])
+    lean = np.unique(np.concatenate([ids[spare < 0], hot_ids[column("spare", np.int32) < 0]]))
+    n, m = len(pairs), len(large) + len(hot_ids)
+    parts_of = lambda first, second, kind: np.concatenate([np.zeros(n, dtype=kind), first[large].astype(kind), second.astype(kind), np.zeros(len(lean), dtype=kind)])
+    at = np.arange(n + m + len(lean))
+    is_pair, is_member = at < n, (at >= n) & (at < n + m)
+    a = np.concatenate([pairs[:, 0], i[large], hot_ids, lean])
+    b = pa.array(np.concatenate([pairs[:, 1], np.zeros(m + len(lean), dtype=np.int64)]), mask=~is_pair)
+    key, bands, spare = (pa.array(x, mask=~is_member) for x in (parts_of(k, column("keys", np.int64), np.int64), parts_of(bands[entry], column("bands", np.uint8), np.int32), np.maximum(parts_of(spare[entry], column("spare", np.int32), np.int32), 0)))
+    return pa.table([pa.array(a), b, key, bands, spare], names=["a", "b", "key", "band", "spare"])
 
 
 def _read_again(docs: DataFrame, wanted: DataFrame, extra: list[str], *, id_col: str, text_col: str, longs: Column | None = None) -> DataFrame:
@@ -358,7 +405,8 @@ def _open(members: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
     keys alike, so the least crowded key that two linked sets share is used by both.
     """
     m = members.select(F.col("a").alias("id"), "key", "band", "spare").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    open_keys = m.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")).filter("lo < hi").select("key", "size")
+    # written first: then two plain scans meet, and a key that a third of all sets have is split at run time
+    open_keys = materialize(m.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")).filter("lo < hi").select("key", "size"), "open-keys")
     m = m.join(open_keys, "key").withColumn("at", F.row_number().over(Window.partitionBy("id", "band").orderBy(F.desc("size"), F.desc("key"))))
     return materialize(m.join(sets.select("id", "n"), "id").select("id", "key", "band", "root", "n", (F.col("at") > F.col("spare")).alias("used")), "open")
 
@@ -366,6 +414,7 @@ def _open(members: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
 def _stars(m: DataFrame, seed: int) -> DataFrame:
     """Pairs (a, b): the members of each open key with one of them, another for each key and seed; across components only."""
     centre = m.groupBy("key").agg(F.min_by(F.struct("id", "root", "n"), F.xxhash64("id", "key", F.lit(seed))).alias("c")).select("key", F.col("c.id").alias("b"), F.col("c.root").alias("rb"), F.col("c.n").alias("nb"))
+    centre = materialize(centre, "centres")
     return m.join(centre, "key").filter((F.col("root") != F.col("rb")) & (3 * F.greatest("n", "nb") <= 4 * F.least("n", "nb"))).select(F.col("id").alias("a"), "b").distinct()
 
 
@@ -453,17 +502,63 @@ def _all_left(docs: DataFrame, sets: DataFrame, m: DataFrame, ranges: int, *, id
     return pairs
 
 
-def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keyed: bool = False) -> DataFrame:
+def _lean_links(docs: DataFrame, lean: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
+    """The links (a, b) of the sets of lean (id, label, n, bitmap), written: each is held against all sets, in blocks of
+    BROADCAST_LONGS elements. A hash puts hardly any set here; whatever their number, a block fits the driver."""
+
+    @tidied
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [(want, h.tobytes()) for t, want in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if set_id(h := shingles(t)) == want]
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.binary())], names=["id", "h"])
+
+    bodies = small_batches(_read_again(docs, lean.select("id", "label"), [], id_col=id_col, text_col=text_col)).mapInArrow(again, "id long, h binary").dropDuplicates(["id"])
+    blocks = max(1, -(-int(lean.agg(F.sum("n")).first()[0] or 0) // BROADCAST_LONGS))
+    bodies = materialize(bodies.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks))), "lean")
+    out = None
+    for k in range(blocks):
+        held = [(r.id, np.frombuffer(r.h, U)) for r in bodies.filter(F.col("block") == k).select("id", "h").collect()]
+        order = np.argsort(np.concatenate([h for _, h in held])) if held else np.zeros(0, dtype=np.int64)
+        shared = docs.sparkSession.sparkContext.broadcast((np.array([x for x, _ in held]), np.array([len(h) for _, h in held]), np.concatenate([h for _, h in held])[order] if held else order.astype(U), np.repeat(np.arange(len(held)), [len(h) for _, h in held])[order]))
+
+        @tidied
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            names, sizes, elements, owner = shared.value
+            for b in batches:
+                pairs = []
+                for t in b.column(0).to_pylist():
+                    h = shingles(t)
+                    lo, hi = np.searchsorted(elements, h), np.searchsorted(elements, h, side="right")
+                    if not (hi > lo).any():
+                        continue
+                    both = np.bincount(np.concatenate([owner[x:y] for x, y in zip(lo, hi, strict=True) if y > x]), minlength=len(names))
+                    own = set_id(h)
+                    pairs += [(min(own, x), max(own, x)) for x in names[4 * both >= 3 * (len(h) + sizes - both)].tolist() if x != own]
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([y for _, y in pairs], pa.int64())], names=["a", "b"])
+
+        found = small_batches(docs.select(F.col(text_col).alias("text"))).mapInArrow(run, "a long, b long").distinct()
+        found = materialize(found, "links")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keyed: bool = False, thin: int = THIN) -> DataFrame:
     """(id_col, n_shingles, component_id): one row for each row of docs. If keyed, also row_key, set_id and root, which tells components apart where ids do not (null, or of several texts)."""
     m = materialize(describe(docs, id_col=id_col, text_col=text_col, keyed=keyed), "described")
     total = m.agg(F.sum("n").alias("n")).first().n or 0
     ranges = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total * 0.7) // TASK_KEYS))
-    sets = m.filter("n > 0").groupBy("id").agg(F.min("doc_id").alias("label"), F.max("n").alias("n"), F.max("bitmap").alias("bitmap"))
-    grouped = materialize(signatures(docs, ranges, text_col=text_col).groupBy("p").applyInArrow(_group, "a long, b long, key long, band int, spare int"), "grouped")
-    touched = grouped.select(F.col("a").alias("id")).unionByName(grouped.filter("key is null").select(F.col("b").alias("id"))).distinct()
-    sets = materialize(sets.join(touched, "id", "left_semi"), "touched")
+    every = m.filter("n > 0").groupBy("id").agg(F.min("doc_id").alias("label"), F.max("n").alias("n"), F.max("bitmap").alias("bitmap"))
+    grouped = materialize(signatures(docs, ranges, text_col=text_col, thin=thin).groupBy("p").applyInArrow(_group, "a long, b long, key long, band int, spare int"), "grouped")
     how = {"id_col": id_col, "text_col": text_col}
-    links = verify(docs, sets, grouped.filter("key is null").select("a", "b"), **how)
+    lean = grouped.filter("key is null and b is null").select(F.col("a").alias("id")).distinct()
+    lean_links = _lean_links(docs, materialize(every.join(lean, "id", "left_semi"), "lean-sets"), **how) if lean.limit(1).count() else None
+    touched = grouped.select(F.col("a").alias("id")).unionByName(grouped.filter("b is not null").select(F.col("b").alias("id")))
+    if lean_links is not None:
+        touched = touched.unionByName(lean_links.select(F.col("a").alias("id"))).unionByName(lean_links.select(F.col("b").alias("id")))
+    sets = materialize(every.join(touched.distinct(), "id", "left_semi"), "touched")
+    links = verify(docs, sets, grouped.filter("b is not null").select("a", "b"), **how)
+    if lean_links is not None:
+        links = links.unionByName(lean_links)
     roots = connected_components(links)
     # a set that can pass over all its keys of larger groups needs none of them
     held = F.count("*").over(Window.partitionBy("a", "band"))
