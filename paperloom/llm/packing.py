@@ -7,7 +7,7 @@ of one length are placed at once: after a bin takes a piece it is the tightest s
 bins in the order of their norms is the same as placing one by one.
 
 Texts are tokenised once; the slim table of pieces (no text) is written to the shared folder with
-a 64-bit hash. Packing then needs no global state: pieces are dealt out uniformly, by that hash,
+a 64-bit hash of each piece. Packing then needs no global state: pieces are dealt out uniformly, by that hash,
 into groups of about ``group_pieces``, and each group is packed by one task. A group of 65,536
 pieces fills over ten thousand bins, so the bins left part-filled at its end do not count.
 
@@ -16,7 +16,8 @@ rule and each distinct word is encoded once a worker (a bounded cache); any othe
 the tokenizer whole. Both ways give the same ids, which the tests hold against each other.
 
 Defined cases: null text is empty: one piece of the end id; an empty table packs into no bins;
-repeated rows are packed one by one; a longer document is cut into full bins and a rest.
+repeated rows and null ids are packed one by one; a longer document is cut into full bins and a rest;
+of bins that fit equally well the oldest takes the piece; other columns are left out.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.store import materialize
-from .common import small_batches, table, tidied
+from .common import numbered, small_batches, table, tidied
 
 MAX_TOKENS = 4096
 END_ID = 1
@@ -224,13 +225,18 @@ def best_fit(lengths: np.ndarray, *, max_tokens: int = MAX_TOKENS, max_docs: int
 def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, max_tokens: int = MAX_TOKENS, max_docs: int | None = None, max_cost: int | None = None, group_pieces: int = GROUP_PIECES, with_ids: bool = False) -> DataFrame:
     """(id, piece, start, length, ids_crc32[, ids], sequence_id, offset)."""
     cut = pieces(docs, id_col=id_col, text_col=text_col, path=path, max_tokens=max_tokens, with_ids=with_ids)
-    cut = materialize(cut.withColumn("u", F.xxhash64("id", "piece", F.monotonically_increasing_id())), "pieces")
+    if with_ids:
+        cut = cut.withColumn("body", F.xxhash64("ids"))
+    cut = materialize(cut, "slices")
+    by = ["id", "piece", "start", "length", "ids_crc32", *["body"] * with_ids]
+    # equal pieces stand for each other and are told apart by number, so the dealing depends on the pieces alone
+    cut = materialize(numbered(cut, by).withColumn("u", F.xxhash64(*by, "_copy")).drop("_copy", "body"), "pieces")
     groups = max(1, -(-cut.count() // group_pieces))
 
     @tidied
     def place(key, t):
         lengths = t.column("length").to_numpy()
-        order = np.argsort(t.column("u").to_numpy(), kind="stable")
+        order = np.lexsort((t.column("piece").to_numpy(), t.column("u").to_numpy()))
         bins, offsets = np.zeros(len(lengths), dtype=np.int64), np.zeros(len(lengths), dtype=np.int64)
         bins[order], offsets[order] = best_fit(lengths[order], max_tokens=max_tokens, max_docs=max_docs, max_cost=max_cost)
         out = t.select([c for c in t.column_names if c not in ("u", "group")])
