@@ -4,8 +4,10 @@ The text query stores each text as a binary PGM of width 64: its UTF-8 bytes, pa
 to a positive multiple of 64, are the samples. Everything it returns comes from decoding the
 stored bytes again.
 
-Defined cases: null text is empty text, one row of zeros; equal texts give equal values; a damaged
-or unknown file is an error row (``error`` not null) of ``decode_media``, never an exception.
+Defined cases: null text is empty text, one row of zeros; equal texts give equal values, repeated rows
+one row each; a damaged or unknown file is an error row (``error`` not null) of ``decode_media``, never an
+exception; very long texts are resized band by band; an empty table gives no rows; other columns are left
+out; equal neighbours in a difference hash count as not brighter.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ WIDTH = 64
 #: Side of the NPY tiles.
 TILE = 32
 HASH_W, HASH_H = 9, 8
+#: Samples of an image that are resized at a time (32 MB as floats, a few times over).
+BAND = 1 << 20
 
 
 class MediaError(ValueError):
@@ -82,12 +86,21 @@ def decode_netpbm(data: bytes) -> np.ndarray:
     return out.astype(np.uint16 if most > 255 else np.uint8)
 
 
+def _channel(pixels: np.ndarray, mask: int) -> np.ndarray:
+    """The bits of a mask, stretched to 0 to 255."""
+    if not mask:
+        return np.zeros(pixels.shape, dtype=np.uint8)
+    shift = (mask & -mask).bit_length() - 1
+    most = mask >> shift
+    return (((pixels & mask) >> shift).astype(np.uint64) * 255 // most).astype(np.uint8)
+
+
 def decode_bmp(data: bytes) -> np.ndarray:
-    """Uncompressed BMP of 1, 4, 8, 24 or 32 bits to (height, width, 3), in RGB."""
+    """Uncompressed BMP of 1, 4, 8, 16, 24 or 32 bits, bit fields too, to (height, width, 3), in RGB."""
     if data[:2] != b"BM" or len(data) < 54:
         raise MediaError("no BMP")
     start, size, w, h, _, bits, packing = struct.unpack_from("<IIiiHHI", data, 10)
-    if packing not in (0, 3) or bits not in (1, 4, 8, 24, 32) or w < 1 or h == 0:
+    if packing not in (0, 3) or bits not in (1, 4, 8, 16, 24, 32) or (packing == 3 and bits not in (16, 32)) or w < 1 or h == 0:
         raise MediaError("unsupported BMP")
     top_down, h = h < 0, abs(h)
     row = (w * bits + 31) // 32 * 4
@@ -95,7 +108,11 @@ def decode_bmp(data: bytes) -> np.ndarray:
     if raw.size < row * h:
         raise MediaError("short file")
     raw = raw[: row * h].reshape(h, row)
-    if bits >= 24:
+    if bits == 16 or packing == 3:
+        masks = struct.unpack_from("<III", data, 54) if packing == 3 else (0x7C00, 0x03E0, 0x001F)
+        pixels = np.ascontiguousarray(raw[:, : w * bits // 8]).view("<u2" if bits == 16 else "<u4").astype(np.uint32)
+        out = np.stack([_channel(pixels, m) for m in masks], axis=2)
+    elif bits >= 24:
         out = raw[:, : w * bits // 8].reshape(h, w, bits // 8)[:, :, 2::-1]
     else:
         used = struct.unpack_from("<I", data, 46)[0] or 1 << bits
@@ -119,18 +136,29 @@ def grey(image: np.ndarray) -> np.ndarray:
 
 
 def area_resize(image: np.ndarray, w: int, h: int) -> np.ndarray:
-    """Means over the exact (fractional) source area of each target cell, from one integral image."""
-    rows, cols = image.shape
-    integral = np.zeros((rows + 1, cols + 1))
-    np.cumsum(np.cumsum(image, axis=0), axis=1, out=integral[1:, 1:])
-
-    def at(edges: np.ndarray, table: np.ndarray) -> np.ndarray:
-        low = np.minimum(np.floor(edges).astype(np.int64), table.shape[0] - 1)
-        high = np.minimum(low + 1, table.shape[0] - 1)
-        return table[low] + (edges - low)[:, None] * (table[high] - table[low])
+    """Means over the exact (fractional) source area of each target cell, from an integral image that is made band by band.
 
+    image: (rows, columns) of brightness or (rows, columns, channels), made grey one band at a time; so the memory needed beside
+    the image is a band's.
+    """
+    rows, cols = image.shape[:2]
     x, y = np.linspace(0, cols, w + 1), np.linspace(0, rows, h + 1)
-    corners = at(x, at(y, integral).T).T
+    low = np.minimum(np.floor(x).astype(np.int64), cols - 1)
+    corners = np.zeros((h + 1, w + 1))
+    above = np.zeros(w + 1)  # the integral at the columns' edges, down to the band
+    step = max(1, BAND // cols)
+    for lo in range(0, rows, step):
+        band = image[lo : lo + step]
+        band = band.astype(np.float64) if band.ndim == 2 else grey(band)
+        across = np.zeros((len(band), cols + 1))
+        np.cumsum(band, axis=1, out=across[:, 1:])
+        edges = across[:, low] + (x - low) * (across[:, low + 1] - across[:, low])
+        down = np.concatenate([above[None, :], above + np.cumsum(edges, axis=0)])
+        inside = np.flatnonzero((y >= lo) & (y < lo + len(band)))
+        at = np.floor(y[inside]).astype(np.int64) - lo
+        corners[inside] = down[at] + (y[inside] - lo - at)[:, None] * (down[at + 1] - down[at])
+        above = down[-1]
+    corners[y >= rows] = above
     cells = corners[1:, 1:] - corners[:-1, 1:] - corners[1:, :-1] + corners[:-1, :-1]
     return cells / (rows / h * cols / w)
 
@@ -148,7 +176,7 @@ def npy(tile: np.ndarray) -> bytes:
 
 
 def tile(image: np.ndarray, side: int = TILE) -> bytes:
-    return npy(np.clip(np.round(area_resize(grey(image), side, side)), 0, 255).astype(np.uint8))
+    return npy(np.clip(np.round(area_resize(image, side, side)), 0, 255).astype(np.uint8))
 
 
 def decode_media(media: DataFrame, *, id_col: str = "media_id", data_col: str = "data", side: int = TILE) -> DataFrame:
@@ -161,7 +189,7 @@ def decode_media(media: DataFrame, *, id_col: str = "media_id", data_col: str =
             for data in b.column(1).to_pylist():
                 try:
                     image = decode(data or b"")
-                    out.append((image.shape[1], image.shape[0], image.shape[2], difference_hash(grey(image)), tile(image, side), None))
+                    out.append((image.shape[1], image.shape[0], image.shape[2], difference_hash(image), tile(image, side), None))
                 except (MediaError, ValueError, struct.error, IndexError, OverflowError) as e:
                     out.append((None, None, None, None, None, str(e) or type(e).__name__))
             cols = list(zip(*out, strict=True)) if out else [()] * 6
@@ -191,23 +219,27 @@ def encode_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 
 def digest_media(media: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
-    """From the stored files alone: payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature."""
+    """From the stored files alone: payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, tile.
+
+    tile: an NPY file of TILE x TILE samples; feature: the difference hash and the beginning of the tile's SHA-256.
+    """
 
     @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+        names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tile"]
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary())
         for b in batches:
             out = []
             for data in b.column(2).to_pylist():
                 image = decode(data)
                 payload = image.tobytes()
-                feature = f"{difference_hash(grey(image))}:{hashlib.sha256(tile(image)).hexdigest()[:16]}"
-                out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(data), hashlib.sha256(data).hexdigest(), feature))
-            cols = list(zip(*out, strict=True)) if out else [()] * 6
+                small = tile(image)
+                feature = f"{difference_hash(image)}:{hashlib.sha256(small).hexdigest()[:16]}"
+                out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(data), hashlib.sha256(data).hexdigest(), feature, small))
+            cols = list(zip(*out, strict=True)) if out else [()] * 7
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], names=["id", "n_bytes", *names])
 
-    out = small_batches(media.select(F.col(id_col).alias("id"), "n_bytes", "media")).mapInArrow(run, f"id {dict(media.dtypes)[id_col]}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    out = small_batches(media.select(F.col(id_col).alias("id"), "n_bytes", "media")).mapInArrow(run, f"id {dict(media.dtypes)[id_col]}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tile binary")
     return out.withColumnRenamed("id", id_col)
 
 
