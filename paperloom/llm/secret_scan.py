@@ -2,7 +2,7 @@
 
 Every text is scanned as it stands (base findings), then its encoded segments are unwrapped: URL
 escapes, backslash escapes, HTML character references of numbers, base64 (both alphabets, wrapped
-lines joined) and hex, and inside binary payloads zlib, gzip, bzip2 and xz. Layers of escapes and of
+lines joined) and hex, and inside binary payloads zlib, bare deflate, gzip, bzip2 and xz, and UTF-16. Layers of escapes and of
 wrapped base64 go on a worklist, are scanned by the same rules and unwrapped in turn until nothing
 new appears; each carries, for every character, the span of the original text that it came from, so
 a finding of any depth is mapped back to code points of the whole text. A layer seen before (by its
@@ -14,7 +14,9 @@ found are kept. They are scanned whole, whatever bytes they hold (those that are
 replaced); compressed ones expand over all members until the input ends, in windows that overlap by
 ``OVERLAP`` characters, by the encoded segment that an edge would cut and by a gap inside an assignment.
 
-Defined cases: null is empty text with no findings; equal rows give equal findings.
+Defined cases: null is empty text with no findings; equal rows give equal findings; very long texts are read
+whole; findings at one place are ordered by kind, base ones first; an empty table gives no rows; other columns
+are left out.
 """
 
 from __future__ import annotations
@@ -130,15 +132,56 @@ def _decoder(head: bytes):
     return None
 
 
-def _headed(chunks: Iterator[bytes], start: bytes = b"") -> tuple[bytes, Iterator[bytes]]:
-    """The first bytes, six at least if there are so many, and the chunks that follow."""
+def _headed(chunks: Iterator[bytes], start: bytes = b"", least: int = 6) -> tuple[bytes, Iterator[bytes]]:
+    """The first bytes, `least` at least if there are so many, and the chunks that follow."""
     for more in chunks:
         start += more
-        if len(start) >= 6:
+        if len(start) >= least:
             break
     return start, chunks
 
 
+def _encodings(head: bytes) -> list[str]:
+    """UTF-8, and UTF-16 too by its mark or by zeros at every other byte of text in Latin letters."""
+    even, odd = head[0:64:2], head[1:64:2]
+    if head[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        return ["utf-8", "utf-16"]
+    if len(odd) >= 4 and odd.count(0) >= 0.7 * len(odd) and not even.count(0):
+        return ["utf-8", "utf-16-le"]
+    if len(odd) >= 4 and even.count(0) >= 0.7 * len(even) and not odd.count(0):
+        return ["utf-8", "utf-16-be"]
+    return ["utf-8"]
+
+
+def _textual(head: bytes) -> bool:
+    return len(_encodings(head)) > 1 or all(c >= 32 or c in b"\t\n\r" for c in head)
+
+
+def _deflated(raw: bytes) -> Iterator[bytes] | None:
+    """The pieces of a bare deflate stream that fills raw to its end, else None."""
+
+    def pieces() -> Iterator[bytes]:
+        d, data = zlib.decompressobj(-zlib.MAX_WBITS), raw
+        while not d.eof:
+            out = d.decompress(data, PIECE)
+            data = d.unconsumed_tail
+            if out:
+                yield out
+            elif not data:
+                return
+
+    d, data = zlib.decompressobj(-zlib.MAX_WBITS), raw
+    try:
+        while not d.eof:
+            out = d.decompress(data, PIECE)
+            data = d.unconsumed_tail
+            if not d.eof and not out and not data:
+                return None
+    except zlib.error:
+        return None
+    return pieces() if not d.unused_data else None
+
+
 def _members(chunks: Iterator[bytes]) -> Iterator[bytes]:
     """All members or streams expanded, piece by piece, until the input ends; what is not compressed comes as it stands."""
     rest, first = b"", True
@@ -284,8 +327,19 @@ def kinds_in(raw: bytes, seen: set | None = None) -> set[int]:
     if (d := hashlib.sha256(raw).digest()) in seen:
         return found
     seen.add(d)
-    decoder, text, done = codecs.getincrementaldecoder("utf-8")("replace"), "", False
-    chunks, window = _plain(raw), WINDOW
+    make = functools.partial(_plain, raw)
+    head = _headed(make(), least=64)[0]
+    if _decoder(head) is None and not _textual(head) and _deflated(raw) is not None:
+        make = functools.partial(_deflated, raw)
+        head = _headed(make(), least=64)[0]
+    for encoding in _encodings(head):
+        _scan_layers(make(), encoding, found, seen)
+    return found
+
+
+def _scan_layers(chunks: Iterator[bytes], encoding: str, found: set[int], seen: set) -> None:
+    """Adds the kinds found in the text of the chunks and below."""
+    decoder, text, done, window = codecs.getincrementaldecoder(encoding)("replace"), "", False, WINDOW
     while not done and len(found) < len(KINDS):
         chunk = next(chunks, None)
         done = chunk is None
@@ -304,7 +358,6 @@ def kinds_in(raw: bytes, seen: set | None = None) -> set[int]:
                     work.append(out)
         text = text[_unfinished(text) :]
         window = max(WINDOW, 2 * len(text))
-    return found
 
 
 def findings(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
