@@ -11,9 +11,14 @@ each language has an equal share for its own most frequent pieces (the last ones
 hash), found from the histogram of its counts: a language of few rows keeps all its pieces. So the
 broadcast model does not grow with the corpus. Every text is scored whole.
 
+The language is that of the largest sum over all words. The score is its share of each single word's
+probability, on the mean over the words: a sum over hundreds of words would be certain of anything, even of a
+text half in one language and half in another, or in none of them.
+
 Defined cases: null text, or text without a letter, is ``und`` with score 0; without any labelled
 row everything is ``und``; rows with a null label or text never train; a tie goes to the language
-that sorts first; repeated rows get equal answers.
+that sorts first; repeated rows get equal answers; very long texts count whole; an empty table gives no rows;
+other columns are untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -122,7 +127,9 @@ class Scorer:
         rows = np.fromiter([k if (k := get(w)) is not None else row(w) for w in runs], dtype=np.int64, count=len(runs))
         total = self.scores[rows].sum(axis=0, dtype=np.float64)
         best = int(total.argmax())
-        return self.model.langs[best], float(1 / np.exp(total - total[best]).sum())
+        own = self.scores[rows]
+        each = np.exp(own - own.max(axis=1, keepdims=True))
+        return self.model.langs[best], float((each[:, best] / each.sum(axis=1)).mean(dtype=np.float64))
 
 
 def held_out(id_col: str):
@@ -195,16 +202,21 @@ def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     return kept.mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, lang_pred string, score double").withColumnRenamed("id", id_col)
 
 
-def keep_identified(docs: DataFrame, model: Model, least_score: float, *, text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns, whose text has a language with at least that score."""
+def keep_identified(docs: DataFrame, model: Model, least_score: float, *, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of docs, all columns, whose text has a language with at least that score; where docs has a column for the
+    language, rows without one get the predicted one."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
+    lang_at = docs.columns.index(lang_col) if dict(docs.dtypes).get(lang_col) == "string" else None
 
     @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = shared.value.scorer()
         for b in batches:
             found = [score(t) for t in b.column(at).to_pylist()]
+            if lang_at is not None:
+                langs = [own if own is not None else x for own, (x, _) in zip(b.column(lang_at).to_pylist(), found, strict=True)]
+                b = b.set_column(lang_at, b.schema.field(lang_at), pa.array(langs, b.column(lang_at).type))
             yield b.filter(pa.array([x != UNDETERMINED and y >= least_score for x, y in found], pa.bool_()))
 
     return small_batches(docs).mapInArrow(run, docs.schema)
