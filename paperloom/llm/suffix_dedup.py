@@ -9,7 +9,8 @@ A prefix that only one document has is done with. The kept suffixes of the other
 that their windows cover, packed, as arrays by (batch, prefix range), and a task makes the sparse suffix
 array of one range: it sorts the suffixes by prefix and by what follows, word by word. Matches are extended
 to the left one word at a time and, of the suffixes that still agree, neighbours are compared to the right as
-far as a window reaches, on the words (64-bit hashes). Windows of ``MIN_WORDS`` words that agree and touch
+far as a window reaches, on the words (64-bit hashes). Suffixes of one cover (all these words alike, as in
+copies) travel once a batch and are sorted once, with the least and greatest document that has them. Windows of ``MIN_WORDS`` words that agree and touch
 merge into passages of any length. As each window belongs to exactly one kept suffix, in every copy to the
 same one, and all suffixes that agree on a window are neighbours, no repeat of ``MIN_WORDS`` words is missed.
 
@@ -44,7 +45,7 @@ MIN_WORDS = 50
 PREFIX = 8
 BASE = 0x9E3779B97F4A7C15 | 1
 #: A prefix of more rows is compared by pre-aggregated rows, any other within one range of prefixes, whose windows fit a task.
-HOT_ROWS = 2_000
+HOT_ROWS = 100_000
 #: Windows that one task sorts at once.
 TASK_WINDOWS = 500_000
 
@@ -54,16 +55,19 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=U, count=len(words))
 
 
-def window_hashes(w: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of all windows of n words: differences of one prefix sum modulo 2^64, brought to a common power."""
-    if len(w) < n:
-        return np.zeros(0, dtype=U)
+def span_hashes(w: np.ndarray, starts: np.ndarray, sizes: np.ndarray | int) -> np.ndarray:
+    """Hashes of the words from each start on: differences of one prefix sum modulo 2^64, brought to a common power."""
     inverse = pow(BASE, -1, 1 << 64)
     ups, downs = np.full(len(w), U(BASE)), np.full(len(w), U(inverse))
-    ups[0] = downs[0] = 1
+    ups[:1] = downs[:1] = 1
     ups, downs = np.multiply.accumulate(ups), np.multiply.accumulate(downs)
     sums = np.concatenate([np.zeros(1, dtype=U), np.add.accumulate(mix(w) * ups)])
-    return mix((sums[n:] - sums[:-n]) * downs[: len(w) - n + 1])
+    return mix((sums[starts + sizes] - sums[starts]) * downs[starts])
+
+
+def window_hashes(w: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all windows of n words."""
+    return span_hashes(w, np.arange(len(w) - n + 1), n) if len(w) >= n else np.zeros(0, dtype=U)
 
 
 def minimisers(prefixes: np.ndarray, min_words: int, prefix: int) -> np.ndarray:
@@ -124,15 +128,17 @@ def _spread(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first.astype(np.int64) - ends + counts, counts)
 
 
-def _compare(key: np.ndarray, doc: np.ndarray, place: np.ndarray, first: np.ndarray, counts: np.ndarray, words: np.ndarray, min_words: int, prefix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The windows of kept suffixes that another document has: the suffix, the window's start, the least document with it.
+def _compare(key: np.ndarray, left: np.ndarray, counts: np.ndarray, words: np.ndarray, lowest: np.ndarray, highest: np.ndarray, min_words: int, prefix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of kept suffixes that another document has: the suffix, how many words before it the window begins, the least
+    document with it.
 
-    words: of each suffix the hashes of the words that its windows cover, one after another. Suffixes are sorted by prefix and then
-    by what follows, word by word. Matches are extended to the left one word at a time: of the suffixes that agree on the words so
-    far, neighbours in the sorted order are compared to the right, on the words themselves, as far as a window reaches.
+    Of each suffix: its prefix, how many words its first window begins before it, the number of its windows, the words (hashes)
+    that they cover, one after another, and the least and greatest of the documents that have it with all these words. Suffixes are
+    sorted by prefix and then by what follows, word by word. Matches are extended to the left one word at a time: of the suffixes
+    that agree on the words so far, neighbours in the sorted order are compared to the right, on the words themselves, as far as a
+    window reaches.
     """
     reach = min_words - prefix  # words of a window left of its suffix at most
-    left = place - first
     w = np.zeros((len(key), reach + min_words), dtype=U)
     sizes = counts + min_words - 1
     row = np.repeat(np.arange(len(key)), sizes)
@@ -150,12 +156,12 @@ def _compare(key: np.ndarray, doc: np.ndarray, place: np.ndarray, first: np.ndar
         alive = alive[np.argsort(group[alive], kind="stable")]
         if not len(alive):
             break
-        g, d = group[alive], doc[alive]
+        g = group[alive]
         edge = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-        many = np.minimum.reduceat(d, edge) != np.maximum.reduceat(d, edge)
+        many = np.minimum.reduceat(lowest[alive], edge) != np.maximum.reduceat(highest[alive], edge)
         alive = alive[np.repeat(many, np.diff(np.append(edge, len(alive))))]
         here = alive[left[alive] - counts[alive] < l]  # those that stand for the window that begins l words before them
-        if len(here) < 2:
+        if not len(here):
             continue
         same = np.zeros(len(here), dtype=bool)
         for lo in range(1, len(here), 1 << 14):
@@ -163,11 +169,10 @@ def _compare(key: np.ndarray, doc: np.ndarray, place: np.ndarray, first: np.ndar
             x = x[: len(y)]
             same[lo : lo + len(y)] = (w[x, reach - l : reach - l + min_words] == w[y, reach - l : reach - l + min_words]).all(axis=1)
         edge = np.flatnonzero(~same)
-        d = doc[here]
-        least, most = np.minimum.reduceat(d, edge), np.maximum.reduceat(d, edge)
+        least, most = np.minimum.reduceat(lowest[here], edge), np.maximum.reduceat(highest[here], edge)
         size = np.diff(np.append(edge, len(here)))
         least, keep = np.repeat(least, size), np.repeat(least != most, size)
-        found.append((here[keep], place[here[keep]] - l, least[keep]))
+        found.append((here[keep], np.full(int(keep.sum()), l), least[keep]))
     empty = np.zeros(0, dtype=np.int64)
     return tuple(np.concatenate([x[i] for x in found]) if found else empty for i in range(3))
 
@@ -213,34 +218,58 @@ def passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             offset = np.cumsum(sizes, dtype=np.int64) - sizes
             w = np.concatenate([x[0] for x in found])
             prefixes = np.concatenate([window_hashes(x[0], prefix)[x[1]] for x in found])
+            # suffixes of one cover (all words of their windows, and the place among them) travel once a batch
+            covers = np.concatenate([span_hashes(x[0], x[2], x[3] + min_words - 1) for x in found])
+            covers = mix(covers ^ mix((place - first).astype(U) * U(BASE) + counts.astype(U)))
             part = (((prefixes >> U(32)) * U(ranges)) >> U(32)).astype(np.int32)
-            order = np.argsort(part, kind="stable")
-            place, first, counts, owner, part, prefixes = place[order], first[order], counts[order], owner[order], part[order], prefixes[order]
-            spans = counts + min_words - 1
-            w = w[_spread(first + offset[owner], spans)]
+            order = np.lexsort((covers, part))
+            place, first, counts, owner, part, prefixes, covers = (x[order] for x in (place, first, counts, owner, part, prefixes, covers))
+            new = np.concatenate([[True], (covers[1:] != covers[:-1]) | (part[1:] != part[:-1])]) if len(part) else np.zeros(0, dtype=bool)
+            one, which = np.flatnonzero(new), np.cumsum(new) - 1
+            spans = counts[one] + min_words - 1
+            w = w[_spread(first[one] + offset[owner[one]], spans)]
             at = np.concatenate([[0], np.cumsum(spans, dtype=np.int64)])
             edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else [0]
             rows = []
             for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-                own = owner[lo:hi]
-                rows.append((int(part[lo]), own, sizes[own].tobytes(), *[x[lo:hi].astype(np.int32).tobytes() for x in (place, first, counts)], prefixes[lo:hi].tobytes(), w[at[lo] : at[hi]].tobytes()))
+                own, k, m = owner[lo:hi], which[lo], which[hi - 1] + 1
+                mine = one[k:m]
+                rows.append((int(part[lo]), own, sizes[own].tobytes(), place[lo:hi].astype(np.int32).tobytes(), (which[lo:hi] - k).astype(np.int32).tobytes(), covers[mine].tobytes(), prefixes[mine].tobytes(), (place - first)[mine].astype(np.int32).tobytes(), counts[mine].astype(np.int32).tobytes(), w[at[k] : at[m]].tobytes()))
             if rows:
                 offsets = pa.array(np.cumsum([0] + [len(r[1]) for r in rows]).astype(np.int32))
                 ids = pa.ListArray.from_arrays(offsets, b.column(0).take(pa.array(np.concatenate([r[1] for r in rows]))))
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), ids, *[pa.array([r[i] for r in rows], pa.binary()) for i in range(2, 8)]], names=["p", "docs", "sizes", "places", "firsts", "counts", "prefixes", "words"])
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), ids, *[pa.array([r[i] for r in rows], pa.binary()) for i in range(2, 10)]], names=["p", "docs", "sizes", "places", "which", "covers", "prefixes", "lefts", "counts", "words"])
 
     @tidied
     def compare(t):
         column = lambda name, kind: np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
+        lengths = lambda name, size: np.array([len(x) // size for x in t.column(name).to_pylist()], dtype=np.int64)
         docs = t.column("docs").combine_chunks().flatten()
         names, code = np.unique(docs.to_numpy(zero_copy_only=False), return_inverse=True)
         sizes = np.zeros(len(names), dtype=np.int64)
         sizes[code] = column("sizes", np.int32)
-        place, first, counts = (column(x, np.int32).astype(np.int64) for x in ("places", "firsts", "counts"))
-        at, starts, least = _compare(column("prefixes", U), code, place, first, counts, column("words", U), min_words, prefix)
-        return _runs(names, docs.type, code[at], starts, least, sizes)
-
-    packed = small_batches(marked.filter(F.size("places") > 0).select("doc", "text", "places")).mapInArrow(deal, f"p int, docs array<{kind}>, sizes binary, places binary, firsts binary, counts binary, prefixes binary, words binary")
+        place, covers = column("places", np.int32).astype(np.int64), column("covers", U)
+        per = lengths("covers", 8)
+        which = column("which", np.int32) + np.repeat(np.cumsum(per) - per, lengths("which", 4))
+        # one of each cover, with the least and greatest document that has it
+        _, one, same = np.unique(covers, return_index=True, return_inverse=True)
+        which = same[which]
+        lowest, highest = np.full(len(one), len(names)), np.full(len(one), -1)
+        np.minimum.at(lowest, which, code)
+        np.maximum.at(highest, which, code)
+        counts = column("counts", np.int32).astype(np.int64)
+        spans = counts + min_words - 1
+        words = column("words", U)[_spread((np.cumsum(spans) - spans)[one], spans[one])]
+        at, back, least = _compare(column("prefixes", U)[one], column("lefts", np.int32).astype(np.int64)[one], counts[one], words, lowest, highest, min_words, prefix)
+        # and for every document that has the cover
+        order = np.argsort(at, kind="stable")
+        at, back, least = at[order], back[order], least[order]
+        begin, end = np.searchsorted(at, which), np.searchsorted(at, which, side="right")
+        pick = _spread(begin, end - begin)
+        entry = np.repeat(np.arange(len(which)), end - begin)
+        return _runs(names, docs.type, code[entry], place[entry] - back[pick], least[pick], sizes)
+
+    packed = small_batches(marked.filter(F.size("places") > 0).select("doc", "text", "places")).mapInArrow(deal, f"p int, docs array<{kind}>, sizes binary, places binary, which binary, covers binary, prefixes binary, lefts binary, counts binary, words binary")
     found = packed.groupBy("p").applyInArrow(compare, f"doc {kind}, n_words long, starts array<int>, ends array<int>, later array<boolean>, first_doc {kind}")
     if size.hot:
         # prefixes that very many documents have: rows, pre-aggregated by window, so that no task holds all of one
