@@ -76,12 +76,13 @@ LOOSE = tuple(
 HEXES = tuple((KINDS.index(kind), re.compile(pattern)) for kind, pattern in (("ipv6", r"(?<![\w:.])(?=[0-9A-Fa-f:]*[0-9A-Fa-f])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:.])"), ("hardware", r"(?<![\w:-])[0-9A-Fa-f]{2}(?:[:-][0-9A-Fa-f]{2}){5}(?![\w:-])")))
 SPELLED = re.compile(r"(?<!\w)[A-Za-z0-9._-]{2,64}\s?[\[(]at[\])]\s?[A-Za-z0-9-]{2,64}(?:\s?(?:[\[(]dot[\])]|\.)\s?[A-Za-z]{2,12})+(?!\w)")
 HANDLE = re.compile(r"(?<![\w@./])@[A-Za-z][A-Za-z0-9_]{2,29}(?![\w@]|\.[A-Za-z])")
-TITLES = "Mr Mrs Ms Dr Prof Herr Frau Mme Monsieur Madame Sr Sra Señor Señora".split()
-CUES = "dear signed sincerely regards contact patient client name called hallo liebe lieber cher chère querido querida".split()
+TITLES = frozenset("Mr Mrs Ms Dr Prof Herr Frau Mme Monsieur Madame Sr Sra Señor Señora".split())
+CUES = frozenset("dear signed sincerely regards contact patient client name called hallo liebe lieber cher chère querido querida".split())
+PHRASES = ("my name is ", "i am ", "mein name ist ", "je m'appelle ", "me llamo ")
 _CAP = r"[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+(?:-[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+)?"
-TITLED = re.compile(rf"(?<!\w)(?:{'|'.join(TITLES)})\.?\x20({_CAP}(?:\x20{_CAP}){{0,2}})")
-CUED = re.compile(rf"(?<!\w)(?i:{'|'.join(CUES)}|my\x20name\x20is|i\x20am|mein\x20name\x20ist|je\x20m'appelle|me\x20llamo)(?:\x20is)?[:,]?\x20({_CAP}(?:\x20{_CAP}){{0,2}})(?!\w)")
-BARE = re.compile(rf"(?<!\w)({_CAP})\x20{_CAP}(?:\x20{_CAP})?(?!\w)")
+#: Up to four words that begin large.
+CAPITALS = re.compile(rf"(?<!\w){_CAP}(?:\x20{_CAP}){{0,3}}(?!\w)")
+BEFORE = re.compile(r"(\w+)(?: is)?[:,.]?\x20$")
 NAME = KINDS.index("name")
 
 #: Gazetteers of the labelers.
@@ -158,17 +159,31 @@ def _loose(text: str, names: frozenset) -> list[tuple[int, int, int]]:
         out += [(0, m.start(), m.end()) for m in SPELLED.finditer(text)]
     if "@" in text:
         out += [(KINDS.index("handle"), m.start(), m.end()) for m in HANDLE.finditer(text)]
-    for pattern in (TITLED, CUED):
-        out += [(NAME, m.start(1), m.end(1)) for m in pattern.finditer(text)]
-    out += [(NAME, m.start(), m.end()) for m in BARE.finditer(text) if m[1].lower() in names]
+    out += [(NAME, s, e) for s, e, cued in _capitals(text) if cued or (" " in text[s:e] and text[s:e].split(" ", 1)[0].lower() in names)]
     return out
 
 
+def _capitals(text: str) -> Iterator[tuple[int, int, bool]]:
+    """(start, end, whether behind a title or cue) of up to three words that begin large."""
+    for m in CAPITALS.finditer(text):
+        start, end = m.span()
+        words = m[0].split(" ")
+        cued = False
+        if len(words) > 1 and (words[0] in TITLES or words[0].lower() in CUES):
+            start, cued, words = start + len(words[0]) + 1, True, words[1:]
+        elif start:
+            before = text[max(0, start - 24) : start]
+            if before[-1] == " ":
+                b = BEFORE.search(before)
+                cued = bool(b) and (b[1] in TITLES or b[1].lower() in CUES) or before.lower().endswith(PHRASES)
+        yield start, start + len(" ".join(words[:3])), cued
+
+
 def cued_names(text: str) -> Iterator[str]:
     """The words of the names behind titles and cues."""
-    for pattern in (TITLED, CUED):
-        for m in pattern.finditer(text):
-            yield from m[1].lower().split(" ")
+    for start, end, cued in _capitals(text):
+        if cued:
+            yield from text[start:end].lower().split(" ")
 
 
 def _valid(name: str, span: str, digits: str) -> int:
