@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 
 @dataclass(frozen=True)
 class Config:
@@ -25,6 +28,8 @@ class Config:
     temporal_floor: int = 10
     temporal_decline: float = 0.3
     gaps: int = 20
+    #: Take the thresholds that fit the corpus's size (see adaptive()) instead of the fixed ones.
+    adaptive: bool = False
     #: Reproduce documented quirks of the batch scripts instead of their documented intent.
     compat: bool = False
 
@@ -32,18 +37,19 @@ class Config:
 DEFAULT = Config()
 
 
-def adaptive_thresholds(n_papers: int, n_keywords: int, year_span: int) -> dict:
-    size = min(1.0, max(0.3, n_papers / 100))
-    span = min(1.0, max(0.2, year_span / 10))
-    return {
-        "min_cluster_size": max(2, int(0.05 * n_papers)),
-        "min_cooccurrence": max(1, int(0.02 * n_papers)),
-        "burst_gamma": 2 - span,
-        "min_years": max(3, int(6 * (1 - span))),
-        "density_threshold": max(0.2, 0.5 * size),
-        "bridge_ratio_max": min(0.5, 0.2 / max(0.3, size)),
-        "small_corpus": n_papers < 30,
-        "short_span": year_span < 5,
-        "few_keywords": n_keywords < 50,
-        "very_few_keywords": n_keywords < 30,
-    }
+def adaptive(summary: DataFrame) -> DataFrame:
+    """summary (one row: n_papers, n_keywords, year_span) with the thresholds that fit a corpus of that size.
+
+    The least size of a cluster counts keywords, so a share of the papers is held against the same share of the keywords.
+    """
+    papers, keywords, years = F.col("n_papers"), F.col("n_keywords"), F.col("year_span")
+    between = lambda x, low: F.greatest(F.lit(low), F.least(F.lit(1.0), x))
+    full, span = between(papers / 100, 0.3), between(years / 10, 0.2)
+    share = lambda n, part, least: F.greatest(F.lit(least), F.floor(part * n)).cast("int")
+    return summary.select(
+        "*",
+        F.least(share(papers, 0.05, 2), share(keywords, 0.05, 2)).alias("cluster_size"), share(papers, 0.05, 2).alias("cluster_size_by_papers"),
+        share(papers, 0.02, 1).alias("edge_weight"), (2 - span).alias("gamma"), F.greatest(F.lit(3), F.floor(F.round(6 * (1 - span), 9))).cast("int").alias("years_needed"),
+        F.greatest(F.lit(0.2), full / 2).alias("proximity"), F.least(F.lit(0.5), 0.2 / full).alias("bridge_ratio"),
+        (papers < 30).alias("is_small"), (years < 5).alias("is_short"), (keywords < 50).alias("is_sparse"), (keywords < 30).alias("is_very_sparse"),
+    )

@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from . import lexicon
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once a row, whatever the optimizer inlines."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def first_non_empty(*cols: Column) -> Column:
     return F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in cols], F.lit(""))
 
@@ -75,10 +80,13 @@ def normalize_keywords(keywords: Column, synonyms: dict[str, str] | None = None,
     return F.array_distinct(out) if distinct else out
 
 
+# What is taken out of a text before its keywords are looked for, in this order.
+NO_KEYWORDS = [r"</?[a-z]+[^>]*>", r"\b10\.\d{4,}/[^\s]+", r"https?://\S+", r"\b\d+\b", r"\b[a-z]\b", r"\s+"]
+
+
 def clean_text(text: Column) -> Column:
     """Tags, DOIs, URLs, whole numbers and lone letters out; white space collapsed."""
-    rules = [(r"</?[a-z]+[^>]*>", " "), (r"\b10\.\d{4,}/[^\s]+", " "), (r"https?://\S+", " "), (r"\b\d+\b", " "), (r"\b[a-z]\b", " "), (r"\s+", " ")]
-    return F.trim(reduce(lambda c, r: F.regexp_replace(c, *r), rules, F.coalesce(text, F.lit(""))))
+    return F.trim(reduce(lambda c, r: F.regexp_replace(c, f"(?U){r}", " "), NO_KEYWORDS, F.coalesce(text, F.lit(""))))
 
 
 def inverted_abstract(index: Column) -> Column:
@@ -95,6 +103,49 @@ def page_range(start: Column, end: Column) -> Column:
     return F.concat_ws("-", F.nullif(start, F.lit("")), F.nullif(end, F.lit("")))
 
 
+def person(family: Column, given: Column) -> Column:
+    """'Family, Given' of a service's two fields; one of them alone where the other is missing, null without both."""
+    return F.nullif(F.concat_ws(", ", F.nullif(F.trim(family), F.lit("")), F.nullif(F.trim(given), F.lit(""))), F.lit(""))
+
+
+def completeness(abstract: Column, doi: Column, keywords: Column) -> Column:
+    """How much an entry tells: characters of abstract and DOI, one more for keywords."""
+    return F.length(F.coalesce(abstract, F.lit(""))) + F.length(F.coalesce(doi, F.lit(""))) + (F.size(F.coalesce(keywords, F.array().cast("array<string>"))) > 0).cast("int")
+
+
+def years_of(text: str | None) -> tuple[int, int] | None:
+    """(first, last) of '2019-2024', with a hyphen or a dash; None, which is no filter, of anything else."""
+    import re
+
+    m = re.match(r"\s*(\d{4})\s*[-\u2013]\s*(\d{4})", text or "")
+    return (int(m[1]), int(m[2])) if m else None
+
+
+def year_between(year: Column, years: tuple[int, int] | None) -> Column:
+    """Inclusive; rows without a year fail a filter that is there."""
+    return F.lit(True) if years is None else F.coalesce(year.between(*years), F.lit(False))
+
+
+#: How each service writes a range of years.
+YEAR_FILTERS = {"openalex": "publication_year:{0}-{1}", "crossref": "from-pub-date:{0}-01-01,until-pub-date:{1}-12-31", "pubmed": "{0}:{1}[dp]"}
+
+
+def year_filter(service: str, years: tuple[int, int] | None) -> str:
+    """The request's part that asks a service for a range of years; empty where it takes none."""
+    return YEAR_FILTERS.get(service, "").format(*years) if years else ""
+
+
+def doi_filters(dois: list[str], batch: int = 50) -> list[str]:
+    """The filters of a look-up of many DOIs, `batch` in each."""
+    known = list(dict.fromkeys(d.strip().lower() for d in dois if d and d.strip()))
+    return [",".join(f"doi:{d}" for d in known[i : i + batch]) for i in range(0, len(known), batch)]
+
+
+def hue(index: Column) -> Column:
+    """The colour of the index-th community, far from its neighbours'."""
+    return F.pmod(index * 137, F.lit(360)).cast("int")
+
+
 def clamp(x: Column) -> Column:
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), x))
 

@@ -6,7 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .ship import ship
+from .store import discard, materialize
+
+#: Rows of a table of nodes that is broadcast (a few MB); a larger one is joined by a shuffle.
+SMALL = 100_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df with a hint to broadcast it if it has SMALL rows at most, else as it is."""
+    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
 
 
 def both_ways(edges: DataFrame) -> DataFrame:
@@ -35,6 +43,25 @@ def hops(edges: DataFrame, sources: DataFrame, most: int = 3) -> DataFrame:
     return seen
 
 
+def distances(edges: DataFrame, sources: DataFrame, most: float) -> DataFrame:
+    """(source, node, distance): the least sum of edge weights from each source node, up to `most`.
+
+    Bellman-Ford by joins: only nodes whose distance fell go into the next round, and no sum over the limit is kept; weights are
+    positive, so there are most / (least weight) rounds at the utmost. Every round is a written table.
+    """
+    e = materialize(both_ways(edges).groupBy("node", "other").agg(F.min("weight").cast("double").alias("w")), "weighted")
+    front = seen = materialize(sources.select(F.col("node").alias("source"), "node", F.lit(0.0).alias("distance")).distinct(), "distances")
+    while True:
+        step = front.join(e, "node").select("source", F.col("other").alias("node"), (F.col("distance") + F.col("w")).alias("distance")).filter(F.col("distance") <= most)
+        step = step.groupBy("source", "node").agg(F.min("distance").alias("distance"))
+        old = seen.select("source", "node", F.col("distance").alias("known"))
+        fell = materialize(step.join(old, ["source", "node"], "left").filter("known is null or distance < known").select("source", "node", "distance"), "fell")
+        if not fell.limit(1).count():
+            return seen
+        seen = materialize(seen.unionByName(fell).groupBy("source", "node").agg(F.min("distance").alias("distance")), "distances")
+        front = fell
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the least node of each component."""
     return connected_components(edges, "keyword_a", "keyword_b").select("node", F.col("root").alias("component"))
@@ -51,82 +78,66 @@ def prune(edges: DataFrame, top_n: int) -> DataFrame:
     return edges.join(keep, edges["keyword_a"] == keep["node"], "left_semi").join(keep, edges["keyword_b"] == keep["node"], "left_semi")
 
 
-def modularity_moves(weights: dict, resolution: float) -> dict:
-    """Local moving and aggregation over {(a, b): weight}; nodes in order, ties to the least label, so the result is one only."""
-    nodes = sorted({x for e in weights for x in e})
-    member = {x: x for x in nodes}
-    level = dict(weights)
-    while True:
-        names = sorted({x for e in level for x in e})
-        near: dict = {x: {} for x in names}
-        degree = dict.fromkeys(names, 0.0)
-        for (a, b), w in level.items():
-            degree[a] += w
-            degree[b] += w
-            if a != b:
-                near[a][b] = near[a].get(b, 0.0) + w
-                near[b][a] = near[b].get(a, 0.0) + w
-        total = sum(degree.values())
-        label, inside = {x: x for x in names}, dict(degree)
-        moved_ever, moved = False, True
-        while moved:
-            moved = False
-            for x in names:
-                own = label[x]
-                inside[own] -= degree[x]
-                to: dict = {own: 0.0}
-                for y, w in near[x].items():
-                    to[label[y]] = to.get(label[y], 0.0) + w
-                gain = {c: w - resolution * degree[x] * inside[c] / total for c, w in to.items()}
-                best = min(gain, key=lambda c: (-round(gain[c], 12), c))
-                if gain[best] > gain[own] + 1e-12:
-                    label[x], moved, moved_ever = best, True, True
-                inside[label[x]] += degree[x]
-        if not moved_ever:
-            break
-        member = {x: label[c] for x, c in member.items()}
-        merged: dict = {}
-        for (a, b), w in level.items():
-            e = tuple(sorted((label[a], label[b])))
-            merged[e] = merged.get(e, 0.0) + w
-        level = merged
-    least: dict = {}
-    for x in nodes:
-        least.setdefault(member[x], x)
-    return {x: least[member[x]] for x in nodes}
-
-
-def communities(edges: DataFrame, resolution: float = 1.5, most_nodes: int = 5_000) -> DataFrame:
-    """(node, community) by modularity for graphs of up to most_nodes nodes, as the top-k vocabulary makes them; larger ones by labels.
-
-    resolution multiplies the expected weight: higher is finer. The name of a community is its least node.
-    """
-    if both_ways(edges).agg(F.countDistinct("node")).first()[0] > most_nodes:
-        return label_propagation(edges)
-    ship(edges.sparkSession)
-
-    def run(pdf):
-        import pandas as pd
+def modularity(edges: DataFrame, partition: DataFrame, resolution: float = 1.0) -> float:
+    """Of a partition (node, community): the share of weight inside communities less the share expected by the degrees."""
+    e = edges.join(partition.select(F.col("node").alias("keyword_a"), F.col("community").alias("ca")), "keyword_a").join(partition.select(F.col("node").alias("keyword_b"), F.col("community").alias("cb")), "keyword_b")
+    total = e.agg(F.sum("weight").alias("w"), F.coalesce(F.sum(F.when(F.col("ca") == F.col("cb"), F.col("weight"))), F.lit(0)).alias("inside")).first()
+    if not total.w:
+        return 0.0
+    d = both_ways(edges).join(partition, "node").groupBy("community").agg(F.sum("weight").alias("d"))
+    expected = d.agg(F.sum((F.col("d") / (2.0 * total.w)) ** 2)).first()[0]
+    return float(total.inside / total.w - resolution * expected)
 
-        found = modularity_moves({(a, b): float(w) for a, b, w in zip(pdf["keyword_a"], pdf["keyword_b"], pdf["weight"], strict=True)}, resolution)
-        return pd.DataFrame({"node": list(found), "community": list(found.values())}, columns=["node", "community"])
 
-    return edges.select("keyword_a", "keyword_b", "weight", F.lit(1).alias("graph")).groupBy("graph").applyInPandas(run, "node string, community string")
+def communities(edges: DataFrame, resolution: float = 1.5, rounds: int = 20, levels: int = 20) -> DataFrame:
+    """(node, community) by modularity: local moves, then the same on the graph of communities, until nothing moves.
 
-
-def label_propagation(edges: DataFrame, rounds: int = 10) -> DataFrame:
-    """(node, community): every node takes the heaviest label around it, its own included; ties to the least. Each round is a written table."""
-    from .store import discard, materialize
-
-    e = materialize(both_ways(edges), "lpa-edges")
-    labels = materialize(e.select("node", F.col("node").alias("community")).distinct(), "lpa")
-    for _ in range(rounds):
-        seen = e.join(labels.select(F.col("node").alias("other"), "community"), "other").groupBy("node", "community").agg(F.sum("weight").alias("w"))
-        best = seen.groupBy("node").agg(F.min(F.struct((-F.col("w")).alias("w"), "community")).alias("best")).select("node", F.col("best.community").alias("community"))
-        new = materialize(best, "lpa")
-        changed = new.alias("x").join(labels.alias("y"), "node").filter("x.community <> y.community").limit(1).count()
+    All of it is joins over written edge tables, whatever the size of the graph. In a round every node looks for the neighbouring
+    community that gains most; of two nodes that would follow each other only one half moves in a round (by a hash of node and round),
+    so moves do not undo each other. resolution multiplies the expected weight: higher is finer. Ties go to the least label, the
+    name of a community is its least node, so the result is one only.
+    """
+    level = materialize(edges.select(F.least("keyword_a", "keyword_b").alias("a"), F.greatest("keyword_a", "keyword_b").alias("b"), F.col("weight").cast("double").alias("w")).groupBy("a", "b").agg(F.sum("w").alias("w")), "level")
+    member = materialize(level.select(F.col("a").alias("node")).union(level.select("b")).distinct().select("node", F.col("node").alias("community")), "member")
+    total = level.agg(F.sum("w")).first()[0]
+    if not total:
+        return member
+    for _ in range(levels):
+        moved = _local_moves(level, resolution, 2 * total, rounds)
+        if moved is None:
+            break
+        up = moved.select(F.col("node").alias("community"), F.col("label"))
+        member = materialize(member.join(up, "community").select("node", F.col("label").alias("community")), "member")
+        ends = level.join(moved.select(F.col("node").alias("a"), F.col("label").alias("la")), "a").join(moved.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b")
+        level = materialize(ends.groupBy(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).agg(F.sum("w").alias("w")), "level")
+    least = member.groupBy("community").agg(F.min("node").alias("name"))
+    return member.join(least, "community").select("node", F.col("name").alias("community"))
+
+
+def _local_moves(level: DataFrame, resolution: float, total: float, rounds: int) -> DataFrame | None:
+    """(node, label) after moves that raise modularity, or None if there is none. total: twice the weight of all edges."""
+    ends = level.select(F.col("a").alias("node"), F.col("b").alias("other"), "w").unionByName(level.select(F.col("b").alias("node"), F.col("a").alias("other"), "w"))
+    degree = materialize(ends.groupBy("node").agg(F.sum("w").alias("d")), "degree")
+    near = materialize(ends.filter("node <> other"), "near")
+    labels = materialize(degree.select("node", "d", F.col("node").alias("label")), "labels")
+    ever = False
+    for k in range(rounds):
+        inside = labels.groupBy("label").agg(F.sum("d").alias("inside"))
+        to = near.join(labels.select(F.col("node").alias("other"), F.col("label").alias("to")), "other").groupBy("node", "to").agg(F.sum("w").alias("w"))
+        own = labels.select("node", F.col("label").alias("to"), F.lit(0.0).alias("w"))
+        to = to.unionByName(own).groupBy("node", "to").agg(F.sum("w").alias("w")).join(labels, "node").join(inside.withColumnRenamed("label", "to"), "to")
+        stays = F.col("to") == F.col("label")
+        gain = F.round(F.col("w") - resolution * F.col("d") * (F.col("inside") - F.when(stays, F.col("d")).otherwise(0.0)) / total, 9)
+        best = to.groupBy("node", "d", "label").agg(F.min(F.struct((-gain).alias("less"), F.col("to"))).alias("best"), F.max(F.when(stays, gain)).alias("now"))
+        # half of the nodes move at a time, so that neighbours do not swap places for ever; a move must gain
+        turn = F.pmod(F.xxhash64("node", F.lit(k)), F.lit(2)) == 0
+        moves = turn & (-F.col("best.less") > F.col("now") + 1e-9) & (F.col("best.to") != F.col("label"))
+        new = materialize(best.select("node", "d", F.when(moves, F.col("best.to")).otherwise(F.col("label")).alias("label"), moves.alias("moved"), (-F.col("best.less") > F.col("now") + 1e-9).alias("could")), "labels")
+        counts = new.agg(F.count_if("moved").alias("moved"), F.count_if("could").alias("could")).first()
         discard(labels)
-        labels = new
-        if not changed:
+        labels = new.select("node", "d", "label")
+        labels._paperloom_path = new._paperloom_path
+        ever = ever or counts.moved > 0
+        if not counts.could:
             break
-    return labels
+    return labels.select("node", "label") if ever else None

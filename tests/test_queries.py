@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from paperloom.config import adaptive_thresholds
+from paperloom.config import adaptive
 from paperloom.functions import text as T
 from paperloom.operators import biblio, dedup, graph
 from paperloom.operators.components import connected_components
@@ -52,8 +52,8 @@ def test_functions(spark):
     assert column(spark, ["see 10.1234/ab.C.", "none"], T.extract_doi) == ["10.1234/ab.C", ""]
     assert column(spark, ["in 1999", "D:20240101", ""], T.extract_year) == [1999, None, None]
     assert (T.title_ratio("tide", "diet"), T.title_ratio("diet", "tide"), T.title_ratio("!", "?"), T.title_ratio(None, "x")) == (0.25, 0.5, 1.0, 0.0)
-    t = adaptive_thresholds(200, 40, 5)
-    assert (t["min_cluster_size"], t["min_cooccurrence"], t["burst_gamma"], t["min_years"], t["density_threshold"], t["bridge_ratio_max"]) == (10, 4, 1.5, 3, 0.5, 0.2)
+    t = adaptive(spark.createDataFrame([(200, 40, 5)], "n_papers long, n_keywords long, year_span int")).first()
+    assert (t.cluster_size_by_papers, t.cluster_size, t.edge_weight, t.gamma, t.years_needed, t.proximity, t.bridge_ratio, t.is_small, t.is_short, t.is_sparse, t.is_very_sparse) == (10, 2, 4, 1.5, 3, 0.5, 0.2, False, False, True, False)
 
 
 @pytest.mark.parametrize("counts,want", [([0, 0, 1, 4, 3, 1], [(2021, 2023, 2.67)]), ([1, 1, 1], []), ([5, 0, 5], [(2018, 2018, 1.5), (2020, 2020, 1.5)])])
@@ -69,7 +69,9 @@ def test_graph_and_duplicates(spark):
     assert connected_components(e.limit(0)).count() == 0
     two = [(a, b, 5) for g in ("abc", "xyz") for a in g for b in g if a < b] + [("c", "x", 1)]
     w = spark.createDataFrame(two, "keyword_a string, keyword_b string, weight long")
-    assert {r.node: r.community for r in graph.communities(w, 1.0).collect()} == dict.fromkeys("abc", "a") | dict.fromkeys("xyz", "x")
+    found = graph.communities(w, 1.0)
+    assert {r.node: r.community for r in found.collect()} == dict.fromkeys("abc", "a") | dict.fromkeys("xyz", "x")
+    assert graph.modularity(w, found) > 0.4 > graph.modularity(w, graph.components(w).withColumnRenamed("component", "community")) == 0.0
     titles = ["A study of gene therapy in mice", "A study of gene therapy in mice!", "A study of gene therapy in rats", "Other", None, "??"]
     d = spark.createDataFrame(list(enumerate(titles)), "id int, title string")
     assert {(r.removed, r.kept) for r in dedup.fuzzy_title_dedup(d).collect()} == {(1, 0), (2, 0)}

@@ -2,7 +2,9 @@
 
 import json
 
-from paperloom.sources import readers
+from pyspark.sql import functions as F
+
+from paperloom.sources import readers, sinks
 from paperloom.streaming import incremental
 
 BIB = """% a comment
@@ -36,7 +38,12 @@ def test_readers(spark, tmp_path):
     o = readers.read_openalex(spark, str(tmp_path / "o.json")).first()
     assert o.abstract == "hello world" and o.authors == ["Lovelace, Ada"] and o.keywords == ["cell"] and o.doi == "10.1/y"
     assert readers.read_jsonl(spark, str(tmp_path / "p.jsonl")).filter("id is not null").count() == 1
-    readers.write_clean(readers.read_ris(spark, str(tmp_path / "a.ris")), str(tmp_path / "out"))
+    ris = readers.read_ris(spark, str(tmp_path / "a.ris"))
+    sinks.write_clean(ris.withColumn("keywords_normalized", F.col("keywords")), str(tmp_path / "out"))
+    back = {r.title: r for r in readers.read_clean(spark, str(tmp_path / "out")).collect()}
+    assert len(readers.read_clean(spark, str(tmp_path / "out")).columns) == 13 and back["First"].authors == ["Doe, Jane", "Lovelace, Ada"] and back["First"].keywords_raw == ["a", "b", "c"] and back["First"].year == 2024
+    sinks.write_raw(ris, str(tmp_path / "raw"))
+    assert sorted(r.title for r in readers.read_jsonl(spark, str(tmp_path / "raw")).collect()) == ["First", "Open end"]
     (tmp_path / "inbox").mkdir()
     (tmp_path / "inbox" / "1.json").write_text('{"id":"1"}\n')
     incremental.append_papers(spark, str(tmp_path / "inbox"), str(tmp_path / "corpus"), str(tmp_path / "ck")).awaitTermination(60)
