@@ -604,3 +604,20 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
 def query(spark, sf_dir: str) -> DataFrame:
     return join(table(spark, sf_dir, "documents"))
+
+
+#: The contract's rows, by all pairs that share a shingle and a walk along their links.
+SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT rid, sh FROM (
+  SELECT rid, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_transform(generate_series(1, len(ws) - 4), lambda i: array_to_string(list_slice(ws, i, i + 4), ' ')) END) AS sh FROM d)),
+k AS (SELECT rid, count(*) AS n, md5(string_agg(sh, chr(10) ORDER BY sh)) AS id FROM s GROUP BY 1),
+r AS (SELECT id, min(rid) AS rid, any_value(n) AS n, min(doc_id) AS label FROM k JOIN d USING (rid) GROUP BY 1),
+rs AS (SELECT r.rid, n, sh FROM r JOIN s USING (rid)),
+p AS (SELECT a.rid AS x, b.rid AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS c FROM rs a JOIN rs b ON a.sh = b.sh AND a.rid <> b.rid GROUP BY 1, 2 HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
+cc AS (SELECT rid AS start, rid AS node FROM r UNION SELECT start, y FROM cc JOIN p ON cc.node = p.x),
+c AS (SELECT node, min(label) AS component FROM cc JOIN r ON r.rid = cc.start GROUP BY 1)
+SELECT d.doc_id, CAST(coalesce(k.n, 0) AS BIGINT) AS n_shingles, coalesce(component, d.doc_id) AS component_id
+FROM d LEFT JOIN k USING (rid) LEFT JOIN r ON r.id = k.id LEFT JOIN c ON c.node = r.rid
+"""

@@ -16,4 +16,4 @@ QUERIES = {
     "op9_suffix_dedup": suffix_dedup.query,
     "op10_pii": pii.query,
 }
-ORACLE: dict[str, str] = {"op1_decontamination": decontaminate.SQL}
+ORACLE: dict[str, str] = {"op1_decontamination": decontaminate.SQL, "op7_ngram_jaccard_join": jaccard_join.SQL, "op9_suffix_dedup": suffix_dedup.SQL}

@@ -341,3 +341,21 @@ def drop_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
 def query(spark, sf_dir: str) -> DataFrame:
     return passages(table(spark, sf_dir, "documents"))
+
+
+#: The same rows by all windows of 50 words.
+SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM documents WHERE doc_id IS NOT NULL),
+w AS (SELECT doc_id, i - 1 AS s, hash(array_to_string(list_slice(ws, i, i + 49), ' ')) AS h FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 49)) AS i FROM d)),
+g AS (SELECT h, min(doc_id) AS first_doc FROM w GROUP BY 1 HAVING min(doc_id) < max(doc_id)),
+m AS (SELECT DISTINCT doc_id, s, first_doc FROM w JOIN g USING (h)),
+every AS (SELECT doc_id, s, FALSE AS drop_it FROM m UNION ALL SELECT doc_id, s, TRUE FROM m WHERE first_doc < doc_id),
+cuts AS (SELECT *, CASE WHEN s > lag(s) OVER (PARTITION BY doc_id, drop_it ORDER BY s) + 50 THEN 1 ELSE 0 END AS cut FROM every),
+isl AS (SELECT *, sum(cut) OVER (PARTITION BY doc_id, drop_it ORDER BY s) AS island FROM cuts),
+sp AS (SELECT doc_id, drop_it, min(s) AS lo, max(s) + 50 AS hi FROM isl GROUP BY doc_id, drop_it, island),
+o AS (SELECT doc_id, CAST(sum(hi - lo) FILTER (NOT drop_it) AS BIGINT) AS n_repeated, string_agg(lo || ':' || hi, ',' ORDER BY lo) FILTER (NOT drop_it) AS spans,
+  CAST(coalesce(sum(hi - lo) FILTER (drop_it), 0) AS BIGINT) AS n_drop, coalesce(string_agg(lo || ':' || hi, ',' ORDER BY lo) FILTER (drop_it), '') AS drop_spans FROM sp GROUP BY 1)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, n_repeated, spans, n_drop, drop_spans, f.first_doc
+FROM o JOIN d USING (doc_id) JOIN (SELECT doc_id, min(first_doc) AS first_doc FROM m GROUP BY 1) f USING (doc_id)
+"""
