@@ -317,7 +317,7 @@ part_ AS (SELECT DISTINCT node, split_part(node, ' ', 1) AS community FROM both_
 FRONT = f"""t100 AS (SELECT * FROM trends ORDER BY total_count DESC, keyword LIMIT 100),
 src AS (SELECT yearly.* FROM yearly SEMI JOIN t100 USING (keyword)), {BURSTS},
 my AS (SELECT keyword, sum(year * n) / sum(n) AS mean_year FROM src GROUP BY 1),
-cm AS (SELECT community, count(*) AS node_count, avg(mean_year) AS avg_year, coalesce(avg(cagr_3yr) FILTER (cagr_3yr >= 0), 0) AS avg_growth FROM part_ LEFT JOIN my ON node = my.keyword LEFT JOIN t100 ON node = t100.keyword GROUP BY 1),
+cm AS (SELECT community, count(*) AS node_count, avg(mean_year) AS avg_year, coalesce(CAST(sum(CAST(cagr_3yr AS DECIMAL(18, 3))) FILTER (cagr_3yr >= 0) AS DOUBLE) / count(*) FILTER (cagr_3yr >= 0), 0) + 1e-9 AS avg_growth FROM part_ LEFT JOIN my ON node = my.keyword LEFT JOIN t100 ON node = t100.keyword GROUP BY 1),
 bu AS (SELECT community, max(intensity) AS max_burst, avg(intensity) AS mean_burst FROM part_ JOIN bursts ON node = keyword GROUP BY 1),
 bw AS (SELECT b.*, x.community AS c1, y.community AS c2 FROM both_ways b JOIN part_ x ON b.node = x.node JOIN part_ y ON b.other = y.node),
 cr AS (SELECT c1 AS community, count(*) AS cross_edges FROM bw WHERE c1 <> c2 GROUP BY 1),
