@@ -7,10 +7,15 @@ membership in a bit filter over the benchmark's windows. Only positions that pas
 never exploded or shuffled; what is shuffled are ids, counts and hits.
 
 The windows are broadcast only while there are at most ``max_broadcast_windows``; a larger
-benchmark takes the same plan with every window position exploded into a shuffled hash join.
+benchmark takes the same plan with every window position exploded into a shuffled join. There a
+window travels as two 64-bit hashes of its words under different seeds, 16 bytes that stand for the
+text; the benchmark's windows are written first, so that two plain scans meet and a window that very
+many documents hold is split at run time.
 
 Defined cases: null or wordless text has 0 words, 0 hits and is clean; an item without words has
-no window; repeated rows are judged one by one; an empty benchmark leaves every document clean.
+no window; repeated rows are judged one by one; an empty benchmark leaves every document clean, an empty
+table gives no rows; very long texts are judged whole; null ids are ids like any other; of the columns of
+docs only id and text are read, so that none clashes; items that share a window all count.
 """
 
 from __future__ import annotations
@@ -27,6 +32,7 @@ from .common import let, lower_ascii, row_key
 #: Words after A-Z are lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
+SECOND_SEED = 0x5EED
 #: A document is contaminated if hits * RATIO >= words.
 RATIO = 20
 #: 100,000 windows of 13 words are about 10 MB as a broadcast relation, 400 KB as a bit filter.
@@ -78,9 +84,15 @@ def _positions(flags: Column) -> Column:
     return F.filter(flags, lambda x: x.isNotNull())
 
 
+def _hashed(gram: Column) -> Column:
+    """A window as 16 bytes."""
+    return F.struct(F.xxhash64(gram).alias("x"), F.xxhash64(F.lit(SECOND_SEED), gram).alias("y"))
+
+
 def _candidates(ws: Column, window: int, full: list[int] | None, short: list[int], lens: list[int]) -> Column:
-    """array<struct<pos, len, gram>> of the window positions that may hit; full None: every position."""
-    gram = lambda i, n: F.struct(i.alias("pos"), n.alias("len"), F.array_join(F.slice(ws, i + 1, n), " ").alias("gram"))
+    """array<struct<pos, len, gram>> of the window positions that may hit; full None: every position, hashed."""
+    text = lambda i, n: F.array_join(F.slice(ws, i + 1, n), " ")
+    gram = lambda i, n: F.struct(i.alias("pos"), n.alias("len"), (_hashed(text(i, n)) if full is None else text(i, n)).alias("gram"))
 
     def from_hashes(h: Column) -> Column:
         n = F.size(h)
@@ -127,9 +139,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     d = d.withColumn("rid", F.monotonically_increasing_id())
     d = d.select("rid", "id", "row_key", F.size("ws").cast("long").alias("n_words"), _candidates(F.col("ws"), window, full, short, lens).alias("cands"))
     d = d.select("rid", "id", "row_key", "n_words", F.explode_outer("cands").alias("c")).select("rid", "id", "row_key", "n_words", "c.*")
-    w = windows.select(F.col("gram").alias("w_gram"), F.col("len").alias("w_len"), "items")
     if small:
-        w = F.broadcast(w)
+        w = F.broadcast(windows.select(F.col("gram").alias("w_gram"), F.col("len").alias("w_len"), "items"))
+    else:
+        w = materialize(windows.select(_hashed(F.col("gram")).alias("w_gram"), F.col("len").alias("w_len"), "items"), "windows")
     d = d.join(w, (d["gram"] == w["w_gram"]) & (d["len"] == w["w_len"]), "left")
     hit = F.when(F.col("items").isNotNull(), F.struct("pos", (F.col("pos") + F.col("len")).alias("end")))
     d = d.groupBy("rid", "id", "row_key", "n_words").agg(F.array_sort(F.collect_set(hit)).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
