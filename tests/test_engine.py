@@ -14,6 +14,7 @@ from paperloom.config import Config
 from paperloom.functions import lexicon
 from paperloom.functions import text as T
 from paperloom.operators import biblio, dedup, frontier, gaps, graph, keywords, quality, report, store
+from paperloom.plans import catalog
 from paperloom.plans.pipeline import Pipeline, Timeout, clean
 from paperloom.sources import readers, sinks
 from paperloom.streaming import incremental
@@ -349,6 +350,9 @@ def test_stream_appends_and_runs_again(spark, tmp_path):
     (tmp_path / "in" / "a.bib").write_text(bibliography(40))
     p = Pipeline(spark, str(tmp_path / "out"))
     p.run("bibtex", str(tmp_path / "in"), method="none", stop=2)
+    assert catalog.register_views(p, "run_") == ["run_raw_corpus", "run_corpus", "run_removed"] and spark.sql("SELECT count(*) FROM run_corpus").first()[0] == 40
+    catalog.register_functions(spark)
+    assert spark.sql("SELECT title_ratio('tide', 'diet')").first()[0] == 0.25
     (tmp_path / "inbox").mkdir()
     (tmp_path / "inbox" / "1.json").write_text(json.dumps({"id": "n1", "title": "Something else entirely", "year": 2020}) + "\n")
     incremental.rerun(spark, str(tmp_path / "inbox"), p, str(tmp_path / "ck"), method="none", stop=2).awaitTermination(120)
