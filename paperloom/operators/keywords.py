@@ -16,7 +16,8 @@ from .store import materialize
 
 #: A word that more than this share of all documents holds tells nothing about one of them.
 COMMON = 0.2
-WORD = "^[a-z]{4,}$"
+#: A word of four a-z letters or more, with neither letter, digit nor underscore beside it.
+WORD = r"(?<![\p{L}\p{N}_])[a-z]{4,}(?![\p{L}\p{N}_])"
 
 
 def _words(text: Column) -> Column:
@@ -24,12 +25,16 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}_]+"), lambda w: w != "")
 
 
-def common_words(docs: DataFrame, *, text_col: str = "text", share: float = COMMON, word: str = WORD) -> list[str]:
+def _long_words(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+
+
+def common_words(docs: DataFrame, *, text_col: str = "text", share: float = COMMON) -> list[str]:
     """The words that over `share` of the documents hold: no more than the mean number of words of a document over share, so few.
 
     This is the default list of noise, found from the corpus itself; lexicon.read_words() reads another one from a file.
     """
-    d = docs.select(F.explode(F.array_distinct(F.filter(_words(F.col(text_col)), lambda w: w.rlike(word)))).alias("w"))
+    d = docs.select(F.explode(F.array_distinct(_long_words(F.col(text_col)))).alias("w"))
     n = docs.count()
     return sorted(r.w for r in d.groupBy("w").agg(F.count("*").alias("df")).filter(F.col("df") > share * n).collect())
 
@@ -55,8 +60,8 @@ def word_keywords(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     ranked and cut inside the row; the only shuffle is that of the common words' counts.
     """
     banned = common_words(docs, text_col=text_col) if noise is None else noise
-    words = F.filter(_words(F.col(text_col)), lambda w: w.rlike(WORD) & ~w.isin(*(banned or [""])))
-    best = F.slice(F.array_sort(word_counts(words)), 1, top)
+    found = F.filter(word_counts(_long_words(F.col(text_col))), lambda x: ~x["w"].isin(*(banned or [""])))
+    best = F.slice(F.array_sort(found), 1, top)
     return docs.select(F.col(id_col), F.posexplode(best).alias("at", "x")).select(id_col, F.col("x.w").alias("keyword"), (-F.col("x.neg")).cast("long").alias("n"), (F.col("at") + 1).alias("rank"))
 
 
