@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import completeness, let, normalize_doi, normalize_title, title_ratio
+from ..functions.text import completeness, normalize_doi, normalize_title, title_ratio
 from .components import connected_components
+from .keywords import word_counts
 from .ship import ship
 from .store import discard, materialize
 
@@ -90,7 +91,8 @@ def _least_common(n: Column, q: int, t: float) -> Column:
 
 def _numbered_grams(q: int) -> Column:
     grams = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("n") - q + 1)), lambda i: F.substr(F.col("t"), i, F.lit(q)))
-    return let(F.array_sort(grams), lambda s: F.transform(s, lambda g, i: F.concat_ws("\x01", F.lit(str(q)), g, (i - F.array_position(s, g) + 1).cast("string"))))
+    copies = lambda x: F.transform(F.sequence(F.lit(1), -x["neg"]), lambda k: F.concat_ws("\x01", F.lit(str(q)), x["w"], k.cast("string")))
+    return F.flatten(F.transform(word_counts(grams), copies))
 
 
 def similar_titles(df: DataFrame, threshold: float = 0.85, id_col: str = "id", title_col: str = "title") -> DataFrame:
