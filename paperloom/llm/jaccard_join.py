@@ -33,7 +33,9 @@ driver.
 
 Defined cases: null, empty or wordless text has an empty set, component of its own id and no link;
 fewer than five words make one shingle; repeated rows share a component; a null doc_id joins groups
-but never names one unless alone.
+but never names one unless alone; a similarity of exactly 0.75 links; very long texts count whole, their
+keys are bounded by their length; an empty table gives no rows; of the columns of docs only id and text are
+read, so that none clashes.
 """
 
 from __future__ import annotations

@@ -24,7 +24,8 @@ with the least id. Documents without one have no row.
 
 Defined cases: null or short text has no passage; rows with a null id are left out; repeated rows of
 one id are one document (a passage must repeat across ids); repeats inside one document alone do
-not count; an empty table gives no rows.
+not count; of documents that share a passage the least id keeps it; very long texts are read whole; an empty
+table gives no rows; of the columns of docs only id and text are read, so that none clashes.
 """
 
 from __future__ import annotations
