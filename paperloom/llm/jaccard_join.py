@@ -368,7 +368,9 @@ def verify(docs: DataFrame, sets: DataFrame, pairs: DataFrame, *, id_col: str =
             keep = [3 * max(x, y) <= 4 * min(x, y) and apart(p, q) <= (x + y) // 7 for x, y, p, q in zip(c["na"], c["nb"], c["bitsa"], c["bitsb"], strict=True)]
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    close = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    close = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "close")
+    if close.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:  # then the sets, with their bitmaps, are dealt out once instead of twice
+        close = F.broadcast(close)
     near = small_batches(close.join(side("b"), "b").join(side("a"), "a").filter((3 * F.greatest("na", "nb") <= 4 * F.least("na", "nb")))).mapInArrow(bounded, "a long, b long")
     near = materialize(near, "near")
     wanted = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct()
