@@ -19,7 +19,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LOWER_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 #: Arrow batches hand Python workers whole texts; a batch of very long ones stays this small.
-BATCH_BYTES, BATCH_ROWS = 8 << 20, 2_000
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 2_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
