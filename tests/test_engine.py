@@ -65,6 +65,18 @@ def test_similar_titles_match_all_pairs(spark):
     assert found == removed | equal
 
 
+def test_equal_titles_alone_take_no_grams(spark, monkeypatch):
+    """At a threshold of 1 no different titles are alike, so long ones cost no grams, no tables and no pairs."""
+    rows = [(f"p{i}", f"{'an unbroken line of words ' * 2000}{i % 3}", "x" * i, None, i) for i in range(9)]
+    written = []
+    monkeypatch.setattr(dedup, "materialize", lambda df, name="t": written.append(name) or df.cache())
+    d = spark.createDataFrame([(r[4], r[1]) for r in rows], "id long, title string")
+    found = dedup.similar_titles(d, 1.0)
+    assert found.dtypes == [("earlier", "bigint"), ("later", "bigint"), ("ratio", "double")] and found.count() == 0 and not written
+    kept, removed = dedup.deduplicate(paper_rows(spark, rows), 1.0)
+    assert {r.id for r in kept.collect()} == {"p6", "p7", "p8"} and removed.count() == 6
+
+
 def test_greedy_keep_folds_long_chains(spark, monkeypatch):
     rng = random.Random(2)
     edges = sorted({tuple(sorted(rng.sample(range(60), 2))) for _ in range(90)} | {(i, i + 1) for i in range(60, 120)})
