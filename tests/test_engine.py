@@ -6,7 +6,9 @@ import json
 import random
 import types
 import zlib
+from difflib import SequenceMatcher
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from paperloom.config import Config
 from paperloom.functions import lexicon
 from paperloom.functions import text as T
 from paperloom.operators import biblio, dedup, frontier, gaps, graph, keywords, quality, report, store
+from paperloom.operators import titles as titles_of
 from paperloom.plans import catalog
 from paperloom.plans.pipeline import Pipeline, Timeout, clean
 from paperloom.sources import readers, sinks
@@ -65,6 +68,47 @@ def test_similar_titles_match_all_pairs(spark):
     assert found == removed | equal
 
 
+def test_similar_titles_of_every_length_without_spark():
+    """No pair is lost by the bounds, of titles below and above 200 characters, where the ratio passes over common ones."""
+    rng = random.Random(9)
+    words = ["".join(rng.choice("etaoinshrdluzqxj7") for _ in range(rng.randrange(2, 7))) for _ in range(60)]
+    every = 0
+    for size, edits in ((6, 2), (40, 12), (70, 20), (300, 40)):
+        found = [" ".join(rng.choice(words) for _ in range(rng.randrange(max(1, size * 3 // 4), size + 1))) for _ in range(14)]
+        for t in list(found) * 3:
+            t = list(t)
+            for _ in range(rng.randrange(1, edits)):
+                k = rng.randrange(len(t))
+                t[k : k + rng.randrange(4)] = rng.choice("etzq ")
+            found.append("".join(t))
+        found = ["", *dict.fromkeys(T.plain_title(x) for x in found)]
+        ids = rng.sample(range(1000), len(found))
+        by = sorted(zip(ids, found, strict=True))
+        want = {(a, b) for i, (a, x) in enumerate(by) for b, y in by[i + 1 :] if SequenceMatcher(None, y, x).ratio() >= 0.85}
+        got = [x[:2] for x in titles_of.near_pairs(ids, found, np.zeros(len(ids), dtype=np.int64), 0.85)]
+        assert len(got) == len(set(got)) and set(got) == want
+        every += len(want)
+        side = np.array([rng.randrange(2) for _ in ids])
+        of = dict(zip(ids, side, strict=True))
+        assert {x[:2] for x in titles_of.near_pairs(ids, found, side, 0.85)} == {(a, b) for a, b in want if of[a] != of[b]}
+    assert every > 100
+
+
+def test_titles_of_thousands_of_characters_take_no_rows_for_grams(spark, monkeypatch):
+    """Long titles that differ in a few places, and ones that differ in marks alone; chunks are dealt to several tasks."""
+    rng = random.Random(5)
+    # without a rare character here and there the ratio sees nothing behind the first difference
+    base = ["".join(str(i // 250 % 10) if i % 250 == 0 else rng.choice("abcdefghijklmnopqrstuvwxyz  ") for i in range(3000)) for _ in range(6)]
+    rows = list(enumerate([*base, *[b[:1000] + "a z" + b[1010:] for b in base], "caf\u0301e", "cafe", *[x * 9 for x in "abc"]]))
+    written = []
+    real = dedup.materialize
+    monkeypatch.setattr(dedup, "materialize", lambda df, name="t": written.append(df.columns) or real(df, name))
+    d = spark.createDataFrame(rows, "id int, title string")
+    got = {(r.earlier, r.later): r.ratio for r in dedup.similar_titles(d, 0.85).collect()}
+    assert set(got) == {*((i, i + 6) for i in range(6)), (12, 13)} and got[12, 13] == 1.0 and not any("gram" in c for c in written)
+    assert [(r.earlier, r.later) for r in dedup.similar_titles(d, 1.0).collect()] == [(12, 13)]
+
+
 def test_equal_titles_alone_take_no_grams(spark, monkeypatch):
     """At a threshold of 1 no different titles are alike, so long ones cost no grams, no tables and no pairs."""
     rows = [(f"p{i}", f"{'an unbroken line of words ' * 2000}{i % 3}", "x" * i, None, i) for i in range(9)]
