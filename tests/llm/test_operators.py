@@ -626,6 +626,20 @@ def test_html_keeps_what_is_no_boilerplate():
     assert html_extract.extract("<main><div>Notice</div></main>", drop) == "Notice"
 
 
+def test_html_wrappers_from_every_page(spark):
+    """Hosts of one template get the same decisions, whichever of their pages a sample would have drawn; the order of rows is no matter."""
+    own = lambda i: f"own text {i} {'w' * (i % 7)}"
+    page = lambda k, i: f"<div class=all><div class=t>{'Usual' if i % 12 else own(k + i)}</div><p>{own(i)} of {k}</p><p>more {i}</p></div>"
+    rows = [(100 * k + i, f"http://h{k}.example/{i}", page(k, i)) for k in range(8) for i in range(60)]
+    p = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract_text(p, html_extract.fit_wrappers(p)).collect()}
+    assert all(got[100 * k + i] == " ".join(f"{own(k + i) if i % 12 == 0 else ''} {own(i)} of {k} more {i}".split()) for k in range(8) for i in range(60))
+    q = p.repartition(7, "html")
+    assert got == {r.page_id: r.text for r in html_extract.extract_text(q, html_extract.fit_wrappers(q)).collect()}
+    tree = html_extract.collapse(html_extract.parse(rows[1][2]))
+    assert html_extract.packed(html_extract.unpacked(html_extract.packed(tree))) == html_extract.packed(tree)
+
+
 def test_html_templates_by_all_pages(spark, monkeypatch):
     own = lambda i: f"own text {i} {'w' * (i % 7)}"
     rows = [f"<main><div class=n>Notice</div><p>{own(i)}</p><div class=t>{'Usual' if i % 3 else own(i)}</div></main>" for i in range(300)]
