@@ -8,12 +8,14 @@ Partition. Sets are banded by size. For a pair whose smaller set lies in band k,
 H <= (|X|+|Y|)/7 elements differ (Jaccard >= 3/4). The universe of shingles is hashed into
 m_k > H_k segments, so a linked pair agrees on at least m_k - H segments. For every segment that
 holds any of its elements a set has a key: the order-free hash of that subset. A set has keys in its
-own band and in a lower band that may hold its partners. Keys travel packed, as arrays by
+own band and in a lower band that may hold its partners. Only the keys of its first H+1 such segments travel, and a few more
+that it may pass over (``spare_keys``, as many for all sets of a band): of two linked sets the one whose keys end first
+agrees with the other on one of them at least, which the other, whose keys end later, sends too. Keys travel packed, as arrays by
 (batch, key range), and a task sorts the keys of one key range. A key that ``THIN`` sets of one batch share is
 thinned there: its members go to any task, as known members of a larger group and as a star around one of them,
 and this one alone goes on to the key's range, so that no task holds all sets of a hot key. Of a key its range and its lowest
-five bytes are kept: a range holds about TASK_KEYS keys at any size of the input, so about one pair
-of different keys in a range falls together, and verification drops what that brings.
+four bytes are kept: a range holds about TASK_KEYS keys at any size of the input, so some 260 pairs of its
+different keys fall together, and verification drops what that brings.
 
 Candidates. Sets that share a key: groups of up to SMALL give all pairs, larger groups a star
 around their least id in the first round and around others in the next ones. Stars and pairs are thinned by an exact bound (the
@@ -64,7 +66,9 @@ TASK_KEYS = 1_500_000
 #: Sets of one batch that share a key from which on only one of them goes on to the key's range; the others are known members.
 THIN = 32
 #: Bytes of a key that travel; its range stands for the highest bits.
-KEY_BYTES = 5
+KEY_BYTES = 4
+#: Keys that a set sends beyond those it needs, as a share of what the largest set of the band needs.
+SPARE = 0.05
 #: Below this many, ids of documents to be read again are broadcast (16 MB).
 BROADCAST_ROWS = 1_000_000
 #: Longs of those that carry lists of keys (32 MB).
@@ -123,10 +127,20 @@ def most_differing(n: int, k: int) -> int:
     return (n + (4 * n) // 3) // 7 if band(n) == k else (n + top) // 7
 
 
+def most_needed(k: int) -> int:
+    """H+1 of the largest set of band k."""
+    top = int(BANDS[k + 1]) - 1
+    return (top + (4 * top) // 3) // 7 + 1
+
+
+def spare_keys(k: int) -> int:
+    """The keys that a set may pass over in band k; as many for all its sets, or two linked ones could pass over all that they share."""
+    return 2 + int(SPARE * most_needed(k))
+
+
 def segments(k: int) -> int:
     """m_k: enough for H+1 non-empty ones with a margin of over five deviations; in the lowest bands every element is a segment of its own."""
-    top = int(BANDS[k + 1]) - 1
-    need = (top + (4 * top) // 3) // 7 + 1
+    top, need = int(BANDS[k + 1]) - 1, most_needed(k)
     return 1 << 32 if top <= SINGLES else int(np.ceil(need * (1 + SLACK + 3 / np.sqrt(need))))
 
 
@@ -154,6 +168,11 @@ def keys(h: np.ndarray, k: int) -> np.ndarray:
     return keyed(segment, total, k)
 
 
+def keys_sent(h: np.ndarray, k: int) -> int:
+    """How many of its keys a set sends, the first ones by segment."""
+    return most_differing(len(h), k) + 1 + spare_keys(k)
+
+
 def range_of(k: np.ndarray, ranges: int) -> np.ndarray:
     return (((k >> U(32)) * U(ranges)) >> U(32)).astype(np.int32)
 
@@ -169,6 +188,15 @@ def unpacked(data: bytes, part: np.ndarray | int) -> np.ndarray:
     return (out.reshape(-1).view("<u8").astype(U) | np.asarray(part).astype(U) << U(8 * KEY_BYTES)).view(np.int64)
 
 
+def planes(values: np.ndarray) -> bytes:
+    """32-bit numbers, first all their lowest bytes: the others hardly differ, so they are compressed away."""
+    return values.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(data: bytes) -> bytes:
+    return np.frombuffer(data, np.uint8).reshape(4, -1).T.tobytes()
+
+
 def shortened(k: np.ndarray, ranges: int) -> np.ndarray:
     """Keys as they are known once they have travelled."""
     return unpacked(packed(k), range_of(k, ranges))
@@ -255,7 +283,7 @@ def signatures(docs: DataFrame, ranges: int, *, text_col: str = "text", thin: in
                 if len(h):
                     ids.append(set_id(h))
                     for k in bands_of(len(h)):
-                        found.append(keys(h, k))
+                        found.append(keys(h, k)[: keys_sent(h, k)])
                         owner.append(len(ids) - 1)
                         bands.append(k)
                         spare.append(len(found[-1]) - most_differing(len(h), k) - 1)
@@ -272,8 +300,9 @@ def signatures(docs: DataFrame, ranges: int, *, text_col: str = "text", thin: in
                 for lo in range(0, len(hot), 10_000):
                     x = slice(lo, lo + 10_000)
                     out["p"].append(int(every[hot[lo]] ^ ids[0].view(U)) % ranges)
-                    for name, values in (("ids", ids[owner[e[x]]]), ("bands", bands[e[x]]), ("spare", spare[e[x]]), ("keys", shortened(every[hot[x]], ranges)), ("centres", ids[owner[entry[centre[x]]]])):
+                    for name, values in (("ids", ids[owner[e[x]]]), ("bands", bands[e[x]]), ("keys", shortened(every[hot[x]], ranges)), ("centres", ids[owner[entry[centre[x]]]])):
                         out[name].append(values.tobytes())
+                    out["spare"].append(planes(spare[e[x]]))
                     out["counts"].append(b"")
                 stays = np.ones(len(every), dtype=bool)
                 stays[hot] = False
@@ -290,8 +319,8 @@ def signatures(docs: DataFrame, ranges: int, *, text_col: str = "text", thin: in
                 out["p"].append(int(part[lo]))
                 out["ids"].append(ids[owner[own]].tobytes())
                 out["bands"].append(bands[own].tobytes())
-                out["spare"].append(spare[own].tobytes())
-                out["counts"].append(np.diff(np.append(starts, hi - lo)).astype(np.uint32).tobytes())
+                out["spare"].append(planes(spare[own]))
+                out["counts"].append(planes(np.diff(np.append(starts, hi - lo))))
                 out["keys"].append(packed(every[lo:hi]))
                 out["centres"].append(None)
             yield _batch(out, _PACKED)
@@ -345,6 +374,13 @@ def _group(t):
     return pa.table([pa.array(a), b, key, bands, spare], names=["a", "b", "key", "band", "spare"])
 
 
+def _group_sent(t):
+    """_group of rows as they travel."""
+    for name in ("spare", "counts"):
+        t = t.set_column(t.schema.get_field_index(name), name, pa.array([from_planes(x) for x in t.column(name).to_pylist()], pa.binary()))
+    return _group(t)
+
+
 def _read_again(docs: DataFrame, wanted: DataFrame, extra: list[str], *, id_col: str, text_col: str, longs: Column | None = None) -> DataFrame:
     """(text, id, *extra) of one document for each row (id, label, *extra) of wanted."""
     w = wanted.select(F.col("label").alias("_label"), F.col("id").alias("_id"), *extra)
@@ -391,6 +427,8 @@ def verify(docs: DataFrame, sets: DataFrame, pairs: DataFrame, *, id_col: str =
     # a star's centre may have very many pairs: they are dealt over several tasks, its set goes to each
     salts = near.groupBy("a").agg(F.ceil(F.count("*") / 500).cast("int").alias("salts"))
     dealt = near.join(salts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
+    if near.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:  # then only sets beside their pairs are dealt out
+        salts, dealt = F.broadcast(salts), F.broadcast(dealt)
     centres = bodies.join(salts, bodies["id"] == salts["a"]).select("a", F.col("h").alias("ha"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     both = dealt.join(bodies.select(F.col("id").alias("b"), F.col("h").alias("hb")), "b").join(centres, ["a", "salt"]).select("a", "b", "ha", "hb")
 
@@ -462,6 +500,7 @@ def _all_left(docs: DataFrame, sets: DataFrame, m: DataFrame, ranges: int, *, id
                     continue
                 own = keys(h, k).view(np.int64)
                 is_cold = ~np.isin(shortened(own.view(U), ranges), np.array(info["hot_keys"], dtype=np.int64))
+                is_cold[keys_sent(h, k) :] = False  # nothing has met by those
                 need, cold = most_differing(len(h), k) + 1, int(is_cold.sum())
                 if cold >= need:
                     continue
@@ -554,9 +593,9 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", key
     """(id_col, n_shingles, component_id): one row for each row of docs. If keyed, also row_key, set_id and root, which tells components apart where ids do not (null, or of several texts)."""
     m = materialize(describe(docs, id_col=id_col, text_col=text_col, keyed=keyed), "described")
     total = m.agg(F.sum("n").alias("n")).first().n or 0
-    ranges = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total * 0.7) // TASK_KEYS))
+    ranges = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total * 0.55) // TASK_KEYS))
     every = m.filter("n > 0").groupBy("id").agg(F.min("doc_id").alias("label"), F.max("n").alias("n"), F.max("bitmap").alias("bitmap"))
-    grouped = materialize(signatures(docs, ranges, text_col=text_col, thin=thin).groupBy("p").applyInArrow(_group, "a long, b long, key long, band int, spare int"), "grouped")
+    grouped = materialize(signatures(docs, ranges, text_col=text_col, thin=thin).groupBy("p").applyInArrow(_group_sent, "a long, b long, key long, band int, spare int"), "grouped")
     how = {"id_col": id_col, "text_col": text_col}
     lean = grouped.filter("key is null and b is null").select(F.col("a").alias("id")).distinct()
     lean_links = _lean_links(docs, materialize(every.join(lean, "id", "left_semi"), "lean-sets"), **how) if lean.limit(1).count() else None

@@ -142,6 +142,27 @@ def test_jaccard_join_of_sets_with_few_segments(spark, corpus):
         assert {(r.a, r.b) for r in got} == want and want
 
 
+def test_jaccard_join_sends_the_keys_that_find_links(spark, corpus):
+    """Of two linked sets' first keys enough agree that neither can pass over all of them, and no more than those travel."""
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 5, 20, 33, 60, 200, 333, 900, 4000):
+        for _ in range(20):
+            x = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            gone = rng.integers(0, n // 7 + 1)
+            y = np.unique(np.concatenate([x[gone:], rng.integers(0, 1 << 63, rng.integers(0, max(0, n - gone) // 7 + 1), dtype=np.uint64)]))
+            if not len(y) or not jaccard_join.linked(x, y):
+                continue
+            k = jaccard_join.band(min(len(x), len(y)))
+            sent = [jaccard_join.keys(h, k)[: jaccard_join.keys_sent(h, k)] for h in (x, y)]
+            spare = [len(s) - jaccard_join.most_differing(len(h), k) - 1 for s, h in zip(sent, (x, y), strict=True)]
+            assert len(np.intersect1d(*sent)) > max(spare) or min(spare) < 0  # those are held against all sets
+    d = docs_of(spark, corpus)
+    rows = jaccard_join.signatures(d, 50).toArrow().to_pylist()
+    sets = [h for _, t in corpus if len(h := jaccard_join.shingles(t))]
+    needed = sum(jaccard_join.most_differing(len(h), k) + 1 + 2 for h in sets for k in jaccard_join.bands_of(len(h)))
+    assert sum(len(r["keys"]) for r in rows if r["centres"] is None) <= 4 * 1.2 * needed
+
+
 def test_deduplicate_null_and_repeated_ids(spark):
     rng = random.Random(8)
     t = [prose(rng, 60, 4000) for _ in range(8)]
