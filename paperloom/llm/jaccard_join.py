@@ -68,7 +68,7 @@ THIN = 32
 #: Bytes of a key that travel; its range stands for the highest bits.
 KEY_BYTES = 4
 #: Keys that a set sends beyond those it needs, as a share of what the largest set of the band needs.
-SPARE = 0.05
+SPARE = 0.4
 #: Below this many, ids of documents to be read again are broadcast (16 MB).
 BROADCAST_ROWS = 1_000_000
 #: Longs of those that carry lists of keys (32 MB).
@@ -593,7 +593,7 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", key
     """(id_col, n_shingles, component_id): one row for each row of docs. If keyed, also row_key, set_id and root, which tells components apart where ids do not (null, or of several texts)."""
     m = materialize(describe(docs, id_col=id_col, text_col=text_col, keyed=keyed), "described")
     total = m.agg(F.sum("n").alias("n")).first().n or 0
-    ranges = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total * 0.55) // TASK_KEYS))
+    ranges = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total * 0.65) // TASK_KEYS))
     every = m.filter("n > 0").groupBy("id").agg(F.min("doc_id").alias("label"), F.max("n").alias("n"), F.max("bitmap").alias("bitmap"))
     grouped = materialize(signatures(docs, ranges, text_col=text_col, thin=thin).groupBy("p").applyInArrow(_group_sent, "a long, b long, key long, band int, spare int"), "grouped")
     how = {"id_col": id_col, "text_col": text_col}
