@@ -140,3 +140,15 @@ def test_stages_of_an_empty_table(spark):
     docs = spark.read.parquet(f"{d}/documents.parquet").limit(0).withColumn("id", F.lit("x"))
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, d).count() == 0
+
+
+def test_stages_give_back_heap(spark, tmp_path):
+    """Each stage begins with a full collection of the executors' heaps (here the driver's, which is the executor)."""
+    spark.createDataFrame([("b", "one two")], "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame([(1, "so it is", "en", "s", 8)], "doc_id long, text string, lang string, source string, n_chars long")
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    full = lambda: sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+    for name, stage in corpus_pipeline.STAGES:
+        before = full()
+        stage(spark, docs, str(tmp_path))
+        assert full() > before, name
