@@ -94,6 +94,41 @@ def test_similar_titles_of_every_length_without_spark():
     assert every > 100
 
 
+def edited(rng, size, edits, letters="etaoin shrdlu"):
+    """A title and one that differs from it in so many places."""
+    x = [rng.choice(letters) for _ in range(size)]
+    y = list(x)
+    for _ in range(edits):
+        k = rng.randrange(len(y))
+        y[k : k + rng.randrange(3)] = rng.choice(letters) * rng.randrange(1, 3)
+    return "".join(x), "".join(y)
+
+
+def test_blocks_of_titles_are_those_of_difflib():
+    """Titles of 1 GB meet their near copies without a step for each common character, and all the same have difflib's ratio."""
+    rng = random.Random(3)
+    for _ in range(150):
+        x, y = edited(rng, rng.choice((1, 9, 150, 199, 200, 201, 420)), rng.randrange(40), rng.choice(("ab", "etaoin shrdlu", "".join(map(chr, range(97, 250))))))
+        want = sum(b.size for b in SequenceMatcher(None, y, x).get_matching_blocks())
+        found = titles_of._Ratio(x)
+        assert found.matches(y, 0) == found.matches(y, want) == want and found.matches(y, want + 1) in (0, want)
+
+
+def test_short_titles_meet_in_a_band_without_spark():
+    """Bands of one word and of several find the common subsequences that are long enough, and no others; no title pays for all columns of all."""
+    rng = random.Random(8)
+    found = [t for k in range(60) for t in edited(rng, (3, 40, 120, 190, 260, 500)[k % 6], rng.randrange(1, 90))]
+    alphabet = {c: k for k, c in enumerate(sorted({c for t in found for c in t}))}
+    n = np.array([len(t) for t in found])
+    many = titles_of._Common([np.array([alphabet[c] for c in t], dtype=np.int32) for t in found], n, len(alphabet))
+    x, y = (np.array(v) for v in zip(*[(i, j) for i in range(len(found)) for j in range(len(found)) if i != j], strict=True))
+    common = np.array([titles_of._common(found[i], found[j]) for i, j in zip(x, y, strict=True)])
+    for off in (-2, 0, 1):
+        match = np.clip(common + off, 0, np.minimum(n[x], n[y]))
+        assert set(many(x, y, match)) == set(np.flatnonzero(common >= match))
+    assert ((n[x] + n[y] - 2 * common) > 64).any()
+
+
 def test_titles_of_thousands_of_characters_take_no_rows_for_grams(spark, monkeypatch):
     """Long titles that differ in a few places, and ones that differ in marks alone; chunks are dealt to several tasks."""
     rng = random.Random(5)
